@@ -425,10 +425,10 @@ def _(c):
 
 @check("a8_ratio_of_sums", "supply_hourly", """
 SELECT campaign_id, CAST(sum(revenue_micros) AS DOUBLE) / nullif(CAST(sum(installs) AS DOUBLE), 0) AS ratio
-FROM supply_hourly GROUP BY 1""", rounded="ratio", digits=2)
+FROM supply_hourly GROUP BY 1""", rounded="ratio:2")
 def _(c):
     return c.wh.supply_hourly.groupBy("campaign_id").agg(
-        F.round(money.safe_ratio(F.sum("revenue_micros"), F.sum("installs")), 2).alias("ratio")
+        money.safe_ratio(F.sum("revenue_micros"), F.sum("installs")).alias("ratio")
     )
 
 
@@ -683,10 +683,10 @@ def _(c):
 
 @check("m6_power", "daily_fact", """
 SELECT campaign_id, sum(CAST(revenue_micros AS DOUBLE) / power(10, 6)) AS revenue FROM daily_fact GROUP BY 1""",
-       rounded="revenue", digits=4)
+       rounded="revenue")
 def _(c):
     return c.wh.daily_fact.groupBy("campaign_id").agg(
-        F.round(F.sum(money.micros("revenue_micros")), 4).alias("revenue")
+        F.sum(money.micros("revenue_micros")).alias("revenue")
     )
 
 
@@ -704,14 +704,13 @@ def _(c):
 SELECT "at" AS at_ms, bid__campaign_id AS campaign_id,
   bid__bid_request__impressions[1].logical_size AS size,
   CAST(spend_micros AS DOUBLE) / nullif(bid__margin_data__base_gross_margin, 0) AS ratio
-FROM impressions""", rounded="ratio", digits=1)
+FROM impressions""", rounded="ratio:1")
 def _(c):
     return c.wh.impressions.select(
         F.col("at").alias("at_ms"), F.col("bid__campaign_id").alias("campaign_id"),
         nested.first_item("bid__bid_request__impressions")["logical_size"].alias("size"),
-        F.round(
-            F.try_divide(F.col("spend_micros").cast("double"), "bid__margin_data__base_gross_margin"), 1
-        ).alias("ratio"),
+        F.try_divide(F.col("spend_micros").cast("double"), "bid__margin_data__base_gross_margin")
+        .alias("ratio"),
     )
 
 
@@ -795,11 +794,11 @@ def _(c):
 
 @check("d8_intervals", "campaigns", f"""
 SELECT id, created_at - INTERVAL 2 DAY AS earlier,
-  TIMESTAMP '{AS_OF}' - created_at < INTERVAL 700 DAY AS young FROM campaigns""", times="earlier")
+  CASE WHEN TIMESTAMP '{AS_OF}' - created_at < INTERVAL 700 DAY THEN 1 ELSE 0 END AS young FROM campaigns""", times="earlier")
 def _(c):
     return c.wh.campaigns.select(
         "id", (F.col("created_at") - F.expr("INTERVAL '2' DAY")).alias("earlier"),
-        times.within_days(times.moment(AS_OF), "created_at", 700).alias("young"),
+        times.within_days(times.moment(AS_OF), "created_at", 700).cast("int").alias("young"),
     )
 
 

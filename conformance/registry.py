@@ -26,6 +26,7 @@ EARLY = ("1995-06-01", "1995-06-02")
 LIMIT_DAYS = ("1995-03-01", "2001-06-30")
 FIRST_HOUR, LAST_HOUR = "1995-01-01T00:00:00Z", "2002-01-01T00:00:00Z"
 
+DIGITS = 6
 CHECKS: dict[str, Check] = {}
 
 
@@ -47,9 +48,10 @@ class Check:
     name: str
     build: Callable[[Context], DataFrame]
     sql: str | None
+    digits: dict[str, int]
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(self.build(Context(spark, sf_dir)))
+        return plain(self.build(Context(spark, sf_dir)), self.digits)
 
 
 def check(
@@ -58,14 +60,20 @@ def check(
     sql: str | None = None,
     times: str = "",
     rounded: str = "",
-    digits: int = 6,
 ):
-    """Register a query; ``times`` and ``rounded`` name SQL columns to bring to plain form."""
+    """Register a query; ``times`` and ``rounded`` name SQL columns to bring to plain form.
+
+    A rounded column is given as ``name`` or ``name:digits``. The digits leave no
+    ties: sums of the derived tables have at most four decimals, squares eight.
+    """
+    specs = [(r + f":{DIGITS}").split(":")[:2] for r in rounded.split()]
+    digits = {n: int(d) for n, d in specs}
+
     def add(build: Callable[[Context], DataFrame]):
         text = sql
         if text is not None:
             swaps = [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in times.split()]
-            swaps += [f"round(CAST({c} AS DOUBLE), {digits}) AS {c}" for c in rounded.split()]
+            swaps += [f"round(CAST({n} AS DOUBLE), {d}) AS {n}" for n, d in digits.items()]
             names = tables.split()
             if swaps:
                 body = text.strip()
@@ -74,20 +82,20 @@ def check(
                 text = with_tables(names, text)
         if name in CHECKS:
             raise ValueError(f"{name} is registered twice")
-        CHECKS[name] = Check(name, build, text)
+        CHECKS[name] = Check(name, build, text, digits)
         return build
 
     return add
 
 
-def plain(df: DataFrame, digits: int = 6) -> DataFrame:
+def plain(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     """Times as text and fractions as rounded doubles, so that engines compare equal."""
     def form(f: T.StructField):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            return F.round(c.cast("double"), digits).alias(f.name)
+            return F.round(c.cast("double"), digits.get(f.name, DIGITS)).alias(f.name)
         return c
 
     return df.select(*[form(f) for f in df.schema])
