@@ -400,9 +400,15 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The derived tables as lazy DataFrames."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
+    cores = spark.sparkContext.defaultParallelism
+
     @cache
     def source(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        # The driver's large tables are one file with one row group, which one
+        # task would read. Tables of many files need no such spreading.
+        few_files = name in ("lineitem", "orders") and len(df.inputFiles()) < cores
+        return df.repartition(cores) if few_files else df
 
     def build(text: str) -> DataFrame:
         used = {n: source(n) for n in SOURCES if "{" + n + "}" in text}

@@ -59,7 +59,7 @@ def validity_intervals(
     lead: int = 1,
     trunc: str | None = None,
     tie: str | None = "change_id",
-    slice_by: str | None = "day",
+    slice_by: str | None = "week",
     start: str = "valid_from",
     end: str = "valid_to",
 ) -> DataFrame:
@@ -83,7 +83,7 @@ def with_previous(
     ts: str,
     default: float | None = None,
     tie: str | None = "change_id",
-    slice_by: str | None = "day",
+    slice_by: str | None = "week",
 ) -> DataFrame:
     """Add ``{new name: column}`` holding the value of the row before.
 

@@ -32,7 +32,7 @@ def with_neighbors(
     ts: str,
     shifts: Mapping[str, tuple[str, int]],
     tie: str | None = "change_id",
-    slice_by: str | None = "day",
+    slice_by: str | None = "week",
 ) -> DataFrame:
     """Add columns ``{name: (column, n)}``: n > 0 looks back, n < 0 ahead.
 

@@ -57,7 +57,7 @@ def margin_events(
 
 
 def with_old_and_new(
-    events: DataFrame, default: float | None, values: str = "base", slice_by: str | None = "day"
+    events: DataFrame, default: float | None, values: str = "base", slice_by: str | None = "week"
 ) -> DataFrame:
     """Old and new margins of each event by campaign and margin type.
 

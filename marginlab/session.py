@@ -7,14 +7,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # AQE coalesces small shuffle partitions, splits skewed ones and turns a
-# sort-merge join into a broadcast join once the measured size allows it.
+# sort-merge join into a broadcast or hash join where the measured size allows it.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot leaves methods above this size uncompiled. Wide projections (app events with
+    # three bid prefixes) are faster as separate operators than as one such method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
