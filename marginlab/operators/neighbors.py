@@ -4,11 +4,12 @@
 log may have a single campaign with a third of all rows, so the rows of a key
 are first cut into time slices:
 
-1. inside a slice, ``lag``/``lead`` as usual (key *and* slice are the partition);
-2. per slice, keep its first and last few rows (as many as the offsets need) and
-   hand them to the neighbouring slices. This summary has one row per key and
-   non-empty slice;
-3. rows near the edge of their slice take the value from there.
+1. inside a slice, ``lag``/``lead`` as usual (key *and* slice are the partition).
+   Only the first and last n rows of a slice can need a row of another slice;
+2. those edge rows, at most 2n for each key and slice, meet in a second window
+   by key. Between two of them that are neighbours across slices no other row
+   lies, so the n-th edge row before is the n-th row before. The other rows
+   stay spread by slice and keep the value from the first window.
 
 The result equals the plain window. Rows with equal times stay in one slice.
 """
@@ -21,9 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-def _order(columns: Sequence[str]) -> list:
-    return [F.col(c).asc_nulls_last() for c in columns]
+# Slice of the rows without a time; they come last.
+_NO_TIME = "9999-12-31"
 
 
 def with_neighbors(
@@ -39,61 +39,30 @@ def with_neighbors(
     NULL keys form one group. ``tie`` makes the order total. ``slice_by`` is a
     ``date_trunc`` unit, or None for a plain window (groups known to be small).
     """
-    order = _order([ts] + ([tie] if tie else []))
+    order = [F.col(c).asc_nulls_last() for c in ([ts, tie] if tie else [ts])]
     if slice_by is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({out: F.lag(c, n).over(w) for out, (c, n) in shifts.items()})
 
-    back = max([n for _, n in shifts.values() if n > 0], default=0)
-    ahead = max([-n for _, n in shifts.values() if n < 0], default=0)
-    carried = sorted({c for c, _ in shifts.values()})
-
-    # A struct of the keys is never NULL itself and equals another with NULLs
-    # in the same places, so NULL keys group and join like any other.
-    keyed = df.withColumns(
-        {"__key": F.struct(*keys), "__slice": F.coalesce(F.date_trunc(slice_by, ts), F.lit("9999-12-31").cast("timestamp"))}
-    )
-    w = Window.partitionBy("__key", "__slice").orderBy(*order)
-    keyed = keyed.withColumns(
+    reach = max(abs(n) for _, n in shifts.values())
+    one = F.count(F.lit(1))
+    inside = Window.partitionBy(*keys, "__slice").orderBy(*order)
+    sliced = df.withColumn(
+        "__slice", F.coalesce(F.date_trunc(slice_by, ts), F.lit(_NO_TIME).cast("timestamp"))
+    ).withColumns(
         {
-            "__before": F.count(F.lit(1)).over(w.rowsBetween(-max(back, ahead), -1)),
-            "__after": F.count(F.lit(1)).over(w.rowsBetween(1, max(back, ahead))),
-            **{f"__in_{out}": F.lag(c, n).over(w) for out, (c, n) in shifts.items()},
+            "__before": one.over(inside.rowsBetween(-reach, -1)),
+            "__after": one.over(inside.rowsBetween(1, reach)),
+            **{f"__in_{out}": F.lag(c, n).over(inside) for out, (c, n) in shifts.items()},
         }
     )
-
-    def edge(near: str, size: int):
-        row = F.struct(F.col(near).alias("at"), *[F.col(c) for c in carried])
-        return F.sort_array(F.collect_list(F.when(F.col(near) < size, row)))
-
-    aggs = {}
-    if ahead:
-        aggs["__head"] = edge("__before", ahead)
-    if back:
-        aggs["__tail"] = edge("__after", back)
-    edges = keyed.groupBy("__key", "__slice").agg(*[e.alias(n) for n, e in aggs.items()])
-    s = Window.partitionBy("__key").orderBy("__slice")
-    reach = {}
-    if ahead:
-        reach["__next"] = F.flatten(
-            F.array_compact(F.array(*[F.lead("__head", i).over(s) for i in range(1, ahead + 1)]))
-        )
-    if back:
-        reach["__prev"] = F.flatten(
-            F.array_compact(F.array(*[F.lag("__tail", i).over(s) for i in range(1, back + 1)]))
-        )
-    edges = edges.withColumns(reach).drop(*aggs)
-
-    out = keyed.join(edges, ["__key", "__slice"], "left")
+    is_edge = (F.col("__before") < reach) | (F.col("__after") < reach)
+    sliced = sliced.withColumn("__part", F.when(~is_edge, F.col("__slice")))
+    across = Window.partitionBy(*keys, "__part").orderBy(*order)
+    out = {}
     for name, (c, n) in shifts.items():
-        near, other, size = ("__before", "__prev", n) if n > 0 else ("__after", "__next", -n)
-        out = out.withColumn(
-            name,
-            F.when(F.col(near) >= size, F.col(f"__in_{name}")).otherwise(
-                F.get(F.col(other), F.lit(size - 1) - F.col(near).cast("int"))[c]
-            ),
-        )
-    return out.drop(
-        "__key", "__slice", "__before", "__after", "__prev", "__next",
-        *[f"__in_{name}" for name in shifts],
+        near = F.col("__before") if n > 0 else F.col("__after")
+        out[name] = F.when(near >= abs(n), F.col(f"__in_{name}")).otherwise(F.lag(c, n).over(across))
+    return sliced.withColumns(out).drop(
+        "__slice", "__part", "__before", "__after", *[f"__in_{name}" for name in shifts]
     )

@@ -16,9 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # HotSpot leaves methods above this size uncompiled. Wide projections (app events with
-    # three bid prefixes) are faster as separate operators than as one such method.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -86,6 +86,12 @@ class Settings:
     report_days: int = 14
     install_opt_states: tuple[str, ...] = ("cpi", "cpi-vt")
 
+    # Length of the time buckets of as-of joins: about as long as a campaign takes for a
+    # few dozen changes. Shorter buckets compare fewer pairs, longer ones repeat fewer intervals.
+    bucket_days: int = 28
+    # Parts a (campaign, bucket) is cut into by as-of joins, for extreme skew.
+    key_splits: int = 1
+
     # Reconciliation tolerance and snapshot age.
     tolerance: float = 0.001
     snapshot_days: int = 2
