@@ -4,19 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conformance.registry import (
-    AFTER,
-    AS_OF,
-    BEFORE,
-    CFG,
-    DAYS,
-    FIRST_HOUR,
-    FULL,
-    LAST_HOUR,
-    LIMIT_DAYS,
-    TRAFFIC,
-    check,
-)
+from conformance.registry import AFTER, AS_OF, BEFORE, CFG, check
 from conformance.snippets import (
     AB,
     COUNTRY,
@@ -253,7 +241,7 @@ WITH u AS (
   SELECT custom_event_id, install__ad_click__impression__auction_id AS a, install__ad_click__impression__channel_id AS ch,
     sum(least(customer_revenue_micros, 500000000) / 1e6) AS x FROM app_events GROUP BY 1, 2, 3)
 SELECT custom_event_id, sum(x) AS sum_capped, sum(x * x) AS sum_squared_capped FROM u GROUP BY 1""",
-       rounded="sum_capped sum_squared_capped:8")
+       rounded="sum_capped sum_squared_capped:2")
 def _(c):
     return funnel.capped_moments(
         c.wh.app_events,

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from conformance.registry import AS_OF, CFG, FIRST_HOUR, FULL, LAST_HOUR, TRAFFIC, Context, check
-from marginlab.functions import buckets, money, nested, times
-from marginlab.operators import dims, funnel, history, metrics
-from marginlab.plans.dataset import update_timeline
-from marginlab.session import shared_dir
+from conformance.registry import AS_OF, CFG, TRAFFIC, Context, check
+from marginlab.functions import money, nested, times
+from marginlab.operators import dims, history, metrics
+from marginlab.operators.neighbors import with_neighbors
+from marginlab.plans.bi import previous_matched
+from marginlab.session import new_shared_path
 from marginlab.sources import scans, sink
 
 AB = 'list_filter(ab_test_assignments, lambda a: a.id = 916)[1]."group".name'
@@ -81,7 +81,7 @@ def _(c):
     monthly = c.wh.daily_fact.groupBy(F.substring("dt", 1, 7).alias("dt"), "campaign_id").agg(
         F.sum("revenue_micros").alias("revenue_micros")
     )
-    out = f"{shared_dir(c.spark)}/marginlab_sink_{c.spark.sparkContext.applicationId}"
+    out = new_shared_path(c.spark, "marginlab-sink")
     sink.write_partitions(monthly, out)
     # Year-month text would be read back as a date, so the schema is given.
     return c.spark.read.schema("campaign_id bigint, revenue_micros bigint, dt string").parquet(out)
@@ -532,8 +532,6 @@ WITH d AS ({_LOG})
 SELECT change_id, lead(logged_at) OVER (PARTITION BY table_name, row_id ORDER BY logged_at, change_id) AS next_at FROM d""",
        times="next_at")
 def _(c):
-    from marginlab.operators.neighbors import with_neighbors
-
     return with_neighbors(
         _log(c), ["table_name", "row_id"], "logged_at", {"next_at": ("logged_at", -1)}
     ).select("change_id", "next_at")
@@ -544,8 +542,6 @@ WITH d AS ({_LOG})
 SELECT change_id, lead(logged_at, 2) OVER (PARTITION BY table_name, old_kind ORDER BY logged_at, change_id) AS next_at FROM d""",
        times="next_at")
 def _(c):
-    from marginlab.operators.neighbors import with_neighbors
-
     return with_neighbors(
         _log(c), ["table_name", "old_kind"], "logged_at", {"next_at": ("logged_at", -2)}
     ).select("change_id", "next_at")
@@ -558,8 +554,6 @@ j AS (SELECT m0.*, m1.events, m1.dt IS NOT NULL AS hit FROM m0 LEFT JOIN m1
       ON m0.campaign_id = m1.campaign_id AND m0.dt = m1.dt)
 SELECT campaign_id, dt, CASE WHEN hit THEN lag(events) OVER (PARTITION BY campaign_id, hit ORDER BY dt) END AS previous FROM j""")
 def _(c):
-    from marginlab.plans.bi import previous_matched
-
     keys = ["campaign_id", "dt"]
     m0 = c.wh.daily_fact.groupBy(*keys).agg(F.sum("revenue_micros").alias("revenue"))
     m1 = c.wh.daily_credited_d7.groupBy(*keys).agg(
@@ -598,7 +592,7 @@ def _(c):
     return a.unionByName(b).groupBy("exchange_group").agg(F.count(F.lit(1)).alias("n"))
 
 
-@check("u2_union_distinct", "margins change_log campaign_configs", """
+@check("u2_union_distinct", "change_log campaign_configs", """
 SELECT campaign_id, target, threshold FROM (
   SELECT campaign_id, target, CAST(NULL AS VARCHAR) AS threshold FROM campaign_configs
   UNION

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="marginlab-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
+
+
+def new_shared_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other run uses."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
