@@ -27,8 +27,12 @@ def json_int_in_bytes(c: str | Column, path: str = PLACEMENT_PATH) -> Column:
 
 
 def ab_group(assignments: str | Column, test_id: int) -> Column:
-    """Group name of the first assignment to a test, NULL if there is none."""
-    return F.get(F.filter(col(assignments), lambda a: a["id"] == test_id), F.lit(0))["group"]["name"]
+    """Group name of the first assignment to a test, NULL if there is none.
+
+    Position 0 (no such test) becomes index -1, which ``get`` answers with NULL.
+    """
+    found = F.array_position(col(assignments)["id"], F.lit(test_id))
+    return F.get(col(assignments), found.cast("int") - 1)["group"]["name"]
 
 
 def first_item(c: str | Column) -> Column:
