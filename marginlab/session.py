@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -29,17 +31,23 @@ def build_session(master: str | None = None, app: str = "marginlab", **conf: str
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="marginlab-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as the cluster names it.
+    """Folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session that names none (a test) gets a temporary folder.
+    A session in one process (a test) may name none and gets a temporary folder.
+    On a cluster such a folder would be another one on each machine: an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    made = tempfile.mkdtemp(prefix="marginlab-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return _local_dir()
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:

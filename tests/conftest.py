@@ -12,7 +12,7 @@ from marginlab.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         "marginlab-tests",
@@ -20,6 +20,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
