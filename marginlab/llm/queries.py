@@ -13,6 +13,7 @@ from marginlab.llm.mixing import domain_tree, mix
 from marginlab.llm.quality_classifier import fit_quality, quality_scores
 from marginlab.llm.quality_rules import quality_verdicts
 from marginlab.llm.simhash import simhash_groups
+from marginlab.llm.substring_dedup import remove_repeats
 from marginlab.llm.token_counts import token_counts
 from marginlab.llm.token_output import token_digests, write_tokens
 from marginlab.llm.toxicity import fit_toxicity, toxicity_scores
@@ -75,3 +76,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
