@@ -26,15 +26,17 @@ class FtrlParameters:
 
     ``alpha`` and ``beta`` set the rate of each coordinate, alpha / (beta + root of
     its summed squared gradients); ``l1`` makes weights zero, ``l2`` small.
+    ``positive`` weighs the rows of class 1, which are few.
     """
 
     most: int = 16_000
     bits: int = 20
-    alpha: float = 0.15
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 1.5
-    l2: float = 1.0
-    epochs: int = 3
+    l1: float = 10.0
+    l2: float = 0.1
+    epochs: int = 8
+    positive: float = 3.0
 
 
 @dataclass(frozen=True)
@@ -85,7 +87,7 @@ def ftrl(examples: list[tuple[np.ndarray, int]], p: FtrlParameters) -> SparseWei
         for found, label in examples:
             at = np.concatenate([found, bias])
             w = weights(at)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
+            g = (1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label) * (p.positive if label else 1.0)
             old = n[at]
             n[at] = old + g * g
             z[at] += g - (np.sqrt(old + g * g) - np.sqrt(old)) / p.alpha * w
