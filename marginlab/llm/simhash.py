@@ -73,7 +73,8 @@ def fingerprints(docs: DataFrame, width: int = 5, key: str = "doc_id", text: str
 def vertical(fps: np.ndarray) -> np.ndarray:
     """Bit planes [64, blocks] of fingerprints [blocks * 64]."""
     bits = np.unpackbits(fps.view(np.uint8).reshape(-1, 64, 8), axis=2, bitorder="little")
-    return np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little").view("<u8")[:, :, 0]
+    packed = np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little")
+    return np.ascontiguousarray(packed).view("<u8")[:, :, 0]
 
 
 def _add(a, b, c):
