@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginlab.llm.decontaminate import contamination
+from marginlab.llm.html_text import html_texts
 from marginlab.llm.mixing import domain_tree, mix
 from marginlab.llm.quality_classifier import fit_quality, quality_scores
 from marginlab.llm.quality_rules import quality_verdicts
@@ -81,3 +82,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@query
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_texts(table(spark, sf_dir, "pages"))
