@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marginlab.llm.decontaminate import contamination
 from marginlab.llm.html_text import html_texts
 from marginlab.llm.mixing import domain_tree, mix
+from marginlab.llm.oracles import ORACLES  # noqa: F401
 from marginlab.llm.quality_classifier import fit_quality, quality_scores
 from marginlab.llm.quality_rules import quality_verdicts
 from marginlab.llm.simhash import simhash_groups
@@ -21,7 +22,6 @@ from marginlab.llm.toxicity import fit_toxicity, toxicity_scores
 from marginlab.session import new_shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
