@@ -108,27 +108,29 @@ def benchmark_runs(
     # How often each word of the benchmark occurs in all documents.
     found.select(F.explode("words").alias("word")).distinct().write.parquet(f"{path}/vocabulary")
     vocabulary = spark.read.parquet(f"{path}/vocabulary")
-    each = words.select(F.explode("words").alias("word"))
+    each = words.select(F.explode_outer("words").alias("word"))
     counted = [each.join(b, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n")) for b in _blocks(vocabulary, "word")]
     counts = _union(counted, vocabulary.select("word", F.lit(0).cast("long").alias("n")).limit(0))
 
     anchors(found, counts, length).write.parquet(f"{path}/anchors")
     table = spark.read.parquet(f"{path}/anchors")
     table = table.select("word", "item", "least", F.col("left").alias("item_left"), F.col("right").alias("item_right"))
-    places = words.select("key", "tie", "words", F.posexplode("words").alias("at", "word"))
+    # The outer form keeps Spark from cutting each text a second time to filter empty ones.
+    places = words.select("key", "tie", "words", F.posexplode_outer("words").alias("at", "word"))
     runs = []
     for block in _blocks(table, "word"):
+        # Nothing but the word is tested by the join: a test of arrays would take it out of
+        # generated code, and every word would then be copied with its whole document.
         met = places.join(block, "word").select(
             "key", "tie", "item", "least", "at", "item_left", "item_right", *_around("words", "at", length)
         )
         # Length bound: the sides together must leave room for a whole window.
         room = F.least(F.size("left"), F.size("item_left")) + 1 + F.least(F.size("right"), F.size("item_right"))
-        met = met.where(room >= F.col("least"))
-        met = met.withColumns({"before": _equal_words("left", "item_left"), "after": _equal_words("right", "item_right")})
-        met = met.where(F.col("before") + 1 + F.col("after") >= F.col("least"))
-        runs.append(
-            met.select("key", "tie", "item", (F.col("at") - F.col("before")).alias("first"), (F.col("at") + F.col("after")).alias("last"))
-        )
+        before, after = _equal_words("left", "item_left"), _equal_words("right", "item_right")
+        run = F.struct((F.col("at") - before).alias("first"), (F.col("at") + after).alias("last"))
+        whole = (room >= F.col("least")) & (before + 1 + after >= F.col("least"))
+        met = met.select("key", "tie", "item", F.explode_outer(F.when(whole, F.array(run))).alias("run"))
+        runs.append(met.where("run is not null").select("key", "tie", "item", "run.first", "run.last"))
     kind, item_kind = words.schema["key"].dataType.simpleString(), found.schema["item"].dataType.simpleString()
     empty = spark.createDataFrame([], f"key {kind}, tie long, item {item_kind}, first int, last int")
     return _union(runs, empty)
