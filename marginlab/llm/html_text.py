@@ -46,7 +46,7 @@ ENDS_P = BLOCKS - {"html", "body", "tr", "td", "th", "thead", "tbody", "tfoot",
 WALLS = frozenset(("table", "td", "th", "caption"))
 
 _TAG = re.compile(
-    r"<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+>|[^>]*+>))",
+    r"<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+>|[^>]*+(?:>|\Z)))",
     re.S,
 )
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/>]|$)", re.I)
