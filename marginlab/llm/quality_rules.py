@@ -118,36 +118,49 @@ def _n(c: Column) -> Column:
     return c.cast("long")
 
 
-def _verdicts(docs: DataFrame, text: str, rules: LineRules) -> DataFrame:
-    """``docs`` with the working columns of ``_annotated`` and __rules: counts and verdict."""
+def _verdicts(docs: DataFrame, text: str, rules: LineRules, with_text: bool) -> DataFrame:
+    """``docs`` with __rules: counts, verdicts and, ``with_text``, the text without its failing lines.
+
+    The last step is an outer explode of one struct. A filter on its fields stays
+    above it; pushed further down, it would take the expressions apart again and
+    evaluate whole arrays once per element.
+    """
     df = _annotated(docs, text, rules)
     with_word = F.transform(F.filter("__lines", lambda x: x["n"] > 0), lambda x: x["line"])
     covered = F.flatten(F.transform("__spots", lambda p: F.array(p, p + 1, p + 2)))
-    lost = F.aggregate(
-        "__lines", F.lit(0).cast("long"), lambda a, x: a + F.when(x["bad"], x["n"].cast("long")).otherwise(F.lit(0).cast("long"))
-    )
+    none = F.lit(0).cast("long")
+    lost = F.aggregate("__lines", none, lambda a, x: a + F.when(x["bad"], x["n"].cast("long")).otherwise(none))
     symbols = F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(r"[#*$%&|<>]"))
     df = df.withColumn("__with_word", with_word)
-    df = df.withColumn(
-        "__counts",
-        F.struct(
-            _n(F.size("__words")).alias("n_words"),
-            _n(F.length(F.array_join("__words", ""))).alias("word_chars"),
-            _n(symbols).alias("n_symbols"),
-            _n(F.size("__with_word") - F.size(F.array_distinct("__with_word"))).alias("n_dup_lines"),
-            _n(F.size(F.array_distinct(covered))).alias("n_repeat_words"),
-            lost.alias("n_lost"),
-        ),
+    df = df.withColumns(
+        {
+            "__n_words": _n(F.size("__words")),
+            "__n_dup_lines": _n(F.size("__with_word") - F.size(F.array_distinct("__with_word"))),
+            "__n_repeat_words": _n(F.size(F.array_distinct(covered))),
+            "__n_lost": lost,
+        }
+    )
+    failed = (F.col("__n_words") < 50) | (100 * F.col("__n_repeat_words") > 50 * F.col("__n_words"))
+    kept = ~failed & (F.col("__n_lost") <= rules.most_lost * F.col("__n_words"))
+    clean = F.array_join(F.transform(F.filter("__lines", lambda x: ~x["bad"]), lambda x: x["line"]), "\n")
+    found = F.struct(
+        F.col("__n_words").alias("n_words"),
+        _n(F.length(F.array_join("__words", ""))).alias("word_chars"),
+        _n(symbols).alias("n_symbols"),
+        F.col("__n_dup_lines").alias("n_dup_lines"),
+        F.col("__n_repeat_words").alias("n_repeat_words"),
+        failed.alias("base_failed"),
+        kept.alias("kept"),
+        F.col("__n_lost").alias("n_lost"),
+        *[clean.alias("clean_text")] * with_text,
     )
-    counts = {n: F.col(f"__counts.{n}") for n in ("n_words", "n_repeat_words", "n_lost")}
-    failed = (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
-    df = df.withColumn("__failed", failed)
-    kept = ~F.col("__failed") & (counts["n_lost"] <= rules.most_lost * counts["n_words"])
-    return df.withColumn("__kept", kept)
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode_outer(F.array(found)).alias("__rules"))
 
 
-def quality_verdicts(docs: DataFrame, rules: LineRules = LineRules(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, counts, ``base_failed``, ``kept``, ``n_lost`` (words of failing lines) and ``clean_text`` of each row.
+def quality_verdicts(
+    docs: DataFrame, rules: LineRules = LineRules(), key: str = "doc_id", text: str = "text", with_text: bool = True
+) -> DataFrame:
+    """``key``, counts, ``base_failed``, ``kept``, ``n_lost`` (words of failing lines) and, ``with_text``, ``clean_text``.
 
     ``n_words``, ``word_chars`` (code points in words), ``n_symbols`` (``#*$%&|<>``),
     ``n_dup_lines`` (lines with a word, equal to an earlier one) and
@@ -160,26 +173,14 @@ def quality_verdicts(docs: DataFrame, rules: LineRules = LineRules(), key: str =
     empty. Repeated rows keep a row each. Other columns are ignored.
     """
     rows = docs.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("__text"))
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return _verdicts(rows, "__text", rules).select(
-        F.col("__key").alias(key),
-        *[F.col(f"__counts.{n}").alias(n) for n in names],
-        F.col("__failed").alias("base_failed"),
-        F.col("__kept").alias("kept"),
-        F.col("__counts.n_lost").alias("n_lost"),
-        _clean().alias("clean_text"),
-    )
-
-
-def _clean() -> Column:
-    return F.array_join(F.transform(F.filter("__lines", lambda x: ~x["bad"]), lambda x: x["line"]), "\n")
+    return _verdicts(rows, "__text", rules, with_text).select(F.col("__key").alias(key), "__rules.*")
 
 
 def clean_documents(
     docs: DataFrame, rules: LineRules = LineRules(), text: str = "text", size: str | None = "n_chars"
 ) -> DataFrame:
     """The rows of ``docs`` that are kept, failing lines removed; ``size`` is set to the text's new length."""
-    df = _verdicts(docs, text, rules).where("__kept").withColumn(text, _clean())
+    df = _verdicts(docs, text, rules, True).where("__rules.kept").withColumn(text, F.col("__rules.clean_text"))
     if size in docs.columns:
         df = df.withColumn(size, F.length(text).cast(docs.schema[size].dataType))
     return df.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -40,7 +40,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_verdicts(table(spark, sf_dir, "documents")).drop("clean_text")
+    return quality_verdicts(table(spark, sf_dir, "documents"), with_text=False)
 
 
 @query
