@@ -298,9 +298,9 @@ def table_sql(d, src) -> dict[str, str]:
     }
     t["daily_analysis"] = _select(analysis, src("orders"), d)
 
-    def log_rows(kind: int, row_id: str, table: str, new: str, old: str) -> str:
+    def log_rows(kind: int, row_id: str, table: str, new: str, old: str, orders: str = src("orders")) -> str:
         return _select({
-            "change_id": f"cast(o_orderkey * 3 + {kind} as bigint)",
+            "change_id": f"cast(o_orderkey * 4 + {kind} as bigint)",
             "row_id": f"cast({row_id} as bigint)",
             "table_name": f"'{table}'",
             "operation": "CASE WHEN o_orderkey % 8 = 0 THEN 'insert' ELSE 'update' END",
@@ -308,7 +308,7 @@ def table_sql(d, src) -> dict[str, str]:
             "logged_at": logged(f"(o_orderkey % 7) * 8 + {kind}"),
             "new_values": new,
             "old_values": old,
-        }, src("orders"), d)
+        }, orders, d)
 
     text = lambda e: f"cast({e} as string)"
     kinds = _pick("o_orderkey", "'control'", "'control'", "'experiment'", "'experiment'", "'base'")
@@ -316,7 +316,15 @@ def table_sql(d, src) -> dict[str, str]:
     goal = "CASE WHEN o_orderkey % 29 = 0 THEN 'null' ELSE concat('\"', " + _pick(
         "o_orderkey", "'NR'", "'RPI'", "'disabled'", "'NR'"
     ) + ", '\"') END"
+    # Every other change of one type has a change of the other type on its day.
+    paired = f"CASE {kinds} WHEN 'control' THEN 'experiment' ELSE 'control' END"
+    every_other = f"(SELECT * FROM {src('orders')} WHERE o_orderkey % 2 = 0) AS every_other"
     t["change_log"] = "\nUNION ALL\n".join([
+        log_rows(
+            3, "2 * o_custkey + o_orderkey % 3", "margins",
+            f"concat('{{\"margin_type\":\"', {paired}, '\",\"other_gross_margin\":\"0.', {text('10 + o_orderkey % 30')}, '\"}}')",
+            f"concat('{{\"margin_type\":\"', {side}, '\"}}')", every_other,
+        ),
         log_rows(
             0, "2 * o_custkey + o_orderkey % 3", "margins",
             f"concat('{{\"margin_type\":\"', {kinds}, '\"', CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE "
@@ -348,7 +356,7 @@ def table_sql(d, src) -> dict[str, str]:
             "margin_type": f"CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE '{kind}' END",
             "network_gross_margin": f"CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE cast((c_custkey * 7 + {k} * 3) % 60 as double) / 100 END",
             "other_gross_margin": f"cast((c_custkey * 11 + {k} * 5) % 60 as double) / 100",
-            "updated_at": d.add(made, f"c_custkey % 1800 + {k}", "DAY"),
+            "updated_at": d.add(made, f"c_custkey * 13 % 1800 + {k}", "DAY"),
         }, src("customer"), d)
 
     t["margins"] = margin_rows(0, "control") + "\nUNION ALL\n" + margin_rows(1, "experiment")
@@ -400,15 +408,9 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The derived tables as lazy DataFrames."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
-    cores = spark.sparkContext.defaultParallelism
-
     @cache
     def source(name: str) -> DataFrame:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        # The driver's large tables are one file with one row group, which one
-        # task would read. Tables of many files need no such spreading.
-        few_files = name in ("lineitem", "orders") and len(df.inputFiles()) < cores
-        return df.repartition(cores) if few_files else df
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     def build(text: str) -> DataFrame:
         used = {n: source(n) for n in SOURCES if "{" + n + "}" in text}

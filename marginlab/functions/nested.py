@@ -12,8 +12,15 @@ PLACEMENT_PATH = "$.imp[0].ext.pptype"
 
 
 def json_scalar(c: str | Column, key: str) -> Column:
-    """Value of a top-level key as text; NULL when absent or JSON null."""
-    return F.get_json_object(col(c), f"$.{key}")
+    """Value of a top-level key as text; NULL when absent, JSON null, an object or an array.
+
+    Only texts that begin like an object or array are parsed again, to tell them from strings.
+    """
+    path = f"$.{key}"
+    value = F.get_json_object(col(c), path)
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(col(c)), path, "variant"))
+    nested = value.rlike(r"^[\[{]") & F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
+    return F.when(~nested, value)
 
 
 def json_has(c: str | Column, key: str) -> Column:

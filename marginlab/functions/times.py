@@ -20,6 +20,11 @@ def moment(value: str | datetime | date) -> Column:
     return F.lit(str(value)).cast("timestamp")
 
 
+def day_of(value: str | datetime | date) -> Column:
+    """The day of a moment, as its first instant; stands for "today"."""
+    return F.date_trunc("day", moment(value))
+
+
 def iso_timestamp(c: str | Column) -> Column:
     """Parse ISO-8601 text (day, hour or full form)."""
     return col(c).cast("timestamp")

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginlab.functions.times import full_days, moment
+from marginlab.functions.times import day_of, full_days
 from marginlab.settings import Settings
 from marginlab.sources.scans import latest_snapshot
 
@@ -62,10 +62,11 @@ def eligible_campaigns(
 ) -> DataFrame:
     """Campaigns old enough, with a high enough limit, of the right type and state.
 
-    ``exclude`` is a short list, or a one-column DataFrame for a long one.
+    Ages count to the day of ``as_of``, whatever its time of day. ``exclude`` is a
+    short list, or a one-column DataFrame for a long one.
     """
     out = campaigns.filter(
-        (full_days("created_at", moment(as_of)) >= cfg.min_age_days)
+        (full_days("created_at", day_of(as_of)) >= cfg.min_age_days)
         & (F.col("daily_revenue_limit") > cfg.min_daily_limit)
         & (F.col("campaign_type_id") == cfg.acquisition_type)
         & (F.col("state") == state)

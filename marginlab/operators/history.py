@@ -62,15 +62,19 @@ def validity_intervals(
     slice_by: str | None = "week",
     start: str = "valid_from",
     end: str = "valid_to",
+    open_end: Column | None = None,
 ) -> DataFrame:
     """Add ``[start, end)``: from a change to the ``lead``-th change after it.
 
-    The last changes of a key stay open until ``as_of``. Changes are ordered by
+    Changes at or after ``as_of`` are not known yet and are left out, so a run for
+    the same ``as_of`` gives the same intervals however the log has grown since.
+    The last changes of a key stay open until ``open_end``, by default ``as_of``. Changes are ordered by
     their raw time and cut to ``trunc`` afterwards, so that all but the last of
     the changes within one hour get an empty interval.
     """
+    df = df.filter(F.col(ts) < moment(as_of))
     out = with_neighbors(df, keys, ts, {end: (ts, -lead)}, tie, slice_by)
-    out = out.withColumns({start: F.col(ts), end: F.coalesce(F.col(end), moment(as_of))})
+    out = out.withColumns({start: F.col(ts), end: F.coalesce(F.col(end), moment(as_of) if open_end is None else open_end)})
     if trunc:
         out = out.withColumns({c: F.date_trunc(trunc, c) for c in (start, end)})
     return out

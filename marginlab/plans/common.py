@@ -91,6 +91,7 @@ def margin_history(
     with_config: bool = False,
     with_limit: bool = False,
     values: str = "base",
+    open_end: Column | None = None,
 ) -> DataFrame:
     """Margin changes with old and new margins and the time they are in force.
 
@@ -102,7 +103,7 @@ def margin_history(
     events = events.filter(F.col("campaign_id").isNotNull())
     paired = with_old_and_new(events, cfg.no_previous_margin, values)
     return validity_intervals(
-        paired, ["campaign_id", "previous_margin_type"], "logged_at", as_of, lead=2, trunc=trunc
+        paired, ["campaign_id", "previous_margin_type"], "logged_at", as_of, lead=2, trunc=trunc, open_end=open_end
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginlab.functions.money import micros
-from marginlab.functions.times import full_days, iso_timestamp, moment
+from marginlab.functions.times import day_of, full_days, iso_text, iso_timestamp
 from marginlab.operators.dims import eligible_campaigns
 from marginlab.settings import Settings
 from marginlab.sources.scans import latest_snapshot
@@ -37,9 +37,12 @@ def _report(wh: Warehouse, cfg: Settings, as_of, eligible: DataFrame, snapshots:
         .groupBy("campaign_id", "region", "daily_revenue_limit", "state")
         .agg(F.sum(F.coalesce("times", F.lit(1))).alias("times"))
     )
+    today = day_of(as_of)
+    # The text bound, a day wider, prunes partitions; a cast of the key would not.
+    oldest = F.substring(iso_text(F.date_sub(today, cfg.report_days + 1).cast("timestamp")), 1, 10)
     recent = wh.daily_attr_d7.filter(
-        full_days(iso_timestamp("dt"), moment(as_of)) <= cfg.report_days
-    )
+        (F.col("dt") >= oldest) & (full_days(iso_timestamp("dt"), today) <= cfg.report_days)
+    ).join(eligible.select(F.col("id").alias("__eligible")), F.col("campaign_id") == F.col("__eligible"), "left_semi")
     who = ["customer_id", "customer_name", "campaign_id", "campaign_name", "ae_email", "csm_email"]
     sums = recent.groupBy(*who).agg(
         F.sum(micros("revenue_micros_d1")).alias("revenue"),

@@ -119,7 +119,8 @@ def stale_campaigns(wh: Warehouse, cfg: Settings, last_day: str) -> DataFrame:
             *[F.col(m).alias(n) for m, n in zip(MARGINS, NEW)],
             "target", "threshold", "daily_revenue_limit",
         )
-        .orderBy(F.col("campaign_id").asc_nulls_last())
+        # Further columns let the range sort cut a campaign with very many rows.
+        .orderBy(F.col("campaign_id").asc_nulls_last(), "margin_type", "updated_at", *NEW)
     )
 
 
@@ -134,7 +135,7 @@ def stale_campaign_revenue(
         )
         .groupBy("campaign_id", "test_group_name")
         .agg(F.sum("revenue_micros").alias("test_revenue_micros"))
-        .orderBy(F.col("campaign_id").asc_nulls_last())
+        .orderBy(F.col("campaign_id").asc_nulls_last(), "test_group_name")
     )
 
 

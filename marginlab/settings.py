@@ -89,8 +89,9 @@ class Settings:
     # Length of the time buckets of as-of joins: about as long as a campaign takes for a
     # few dozen changes. Shorter buckets compare fewer pairs, longer ones repeat fewer intervals.
     bucket_days: int = 28
-    # Parts a (campaign, bucket) is cut into by as-of joins, for extreme skew.
-    key_splits: int = 1
+    # Parts a (campaign, bucket) is cut into by as-of joins: a campaign with a third of the
+    # traffic of an hour is so many tasks. The histories, which are small, are repeated as often.
+    key_splits: int = 4
 
     # Reconciliation tolerance and snapshot age.
     tolerance: float = 0.001

@@ -34,13 +34,15 @@ def exact_hour_scan(df: DataFrame, hour: str) -> DataFrame:
 def latest_snapshot(
     df: DataFrame, as_of: str | datetime | date, max_age_days: int = 2, part_col: str = "dt"
 ) -> DataFrame:
-    """Rows of the newest snapshot not older than ``max_age_days``; none if all are older.
+    """Rows of the newest snapshot up to ``as_of`` and not older than ``max_age_days``; none if there is none.
 
     The newest key is a scalar subquery over the key column only, so the outer
     scan reads one partition.
     """
     oldest = moment(as_of) - F.expr(f"INTERVAL '{max_age_days}' DAY")
     newest = (
-        df.filter(iso_timestamp(part_col) >= oldest).agg(F.max(part_col).alias("newest")).scalar()
+        df.filter(iso_timestamp(part_col).between(oldest, moment(as_of)))
+        .agg(F.max(part_col).alias("newest"))
+        .scalar()
     )
     return df.filter(F.col(part_col) == newest)

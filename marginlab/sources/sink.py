@@ -2,17 +2,42 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Characters that a partition folder's name holds in escaped form.
+_ESCAPED = re.compile(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
+
+
+def partition_path(path: str, part_col: str, value: str) -> str:
+    """Folder of one partition."""
+    return f"{path}/{part_col}=" + _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", value)
+
+
+def write_partition(df: DataFrame, path: str, value: str, part_col: str = "dt") -> None:
+    """Replace one whole partition, also by no rows. ``df`` has no use for a column of that name."""
+    (
+        df.drop(part_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .parquet(partition_path(path, part_col, value))
+    )
 
 
 def write_partitions(df: DataFrame, path: str, part_col: str = "dt") -> None:
-    """Replace just the partitions that occur in ``df``; a second run changes nothing.
+    """Replace just the partitions that occur in ``df``; a second run with as many changes nothing.
 
+    A partition that has no rows any more keeps its old ones: ``write_partition`` is
+    for that. Rows are dealt by partition first, so a partition gets few files, and
+    a large one is split.
     The file committer publishes finished tasks only, so a lost executor
     costs a retry and leaves no half-written partition.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", F.col(part_col))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part_col)
         .parquet(path)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import functions as F
-
 from marginlab.plans.hourly import config_dataset, hourly_dataset
 from marginlab.settings import Settings
-from marginlab.sources.sink import write_partitions
+from marginlab.sources.sink import write_partition
 from marginlab.sources.warehouse import Warehouse
 
 _TEXT = "%Y-%m-%dT%H:%M:%SZ"
@@ -26,15 +25,18 @@ def hourly_run(
     out: str,
     as_of: str | datetime | date,
     limit_days: tuple[str, str],
-    until: str | None = None,
 ) -> None:
-    """Write the partition ``dt=hour``; running it again gives the same partition.
-
-    ``until`` widens the run to start <= dt < until, for a backfill in one partition.
-    """
+    """Write the partition ``dt=hour``; running it again gives the same partition, an hour without rows none."""
     start, end = hour_bounds(hour)
-    result = hourly_dataset(wh, cfg, start, until or end, as_of, limit_days)
-    write_partitions(result.withColumn("dt", F.lit(hour)), out)
+    write_partition(hourly_dataset(wh, cfg, start, end, as_of, limit_days), out, hour)
+
+
+def backfill(run: Callable[..., None], wh: Warehouse, cfg: Settings, first: str, until: str, *args) -> None:
+    """``run`` each hour of first <= hour < until, each into its own partition."""
+    hour = first
+    while hour < until:
+        run(wh, cfg, hour, *args)
+        hour = hour_bounds(hour)[1]
 
 
 def hourly_config_run(
@@ -45,6 +47,6 @@ def hourly_config_run(
     as_of: str | datetime | date,
     limit_days: tuple[str, str],
 ) -> None:
-    """Write one hour of the config table."""
+    """Write one hour of the config table, likewise."""
     start, end = hour_bounds(hour)
-    write_partitions(config_dataset(wh, cfg, start, end, as_of, limit_days), out)
+    write_partition(config_dataset(wh, cfg, start, end, as_of, limit_days), out, hour)

@@ -75,6 +75,8 @@ def test_json(spark):
     values = [('{"a":1}',), ('{"t":null}',), ('{"t":""}',), ('{"t":"NR"}',), (None,)]
     assert one(spark, "j string", values, nested.json_has("j", "t")) == [False, True, True, True, False]
     assert one(spark, "j string", values, nested.json_scalar("j", "t")) == [None, None, "", "NR", None]
+    nests = [('{"t":{"a":1}}',), ('{"t":[1]}',), ('{"t":"{x"}',), ('{"t":"[1]"}',), ('{"t":1.50}',), ('{"t":tru',)]
+    assert one(spark, "j string", nests, nested.json_scalar("j", "t")) == [None, None, "{x", "[1]", "1.5", None]
     raw = [(b'{"imp":[{"ext":{"pptype":3}}]}',), (b'{"imp":[]}',), (b'{"imp":[{"ext":{"pptype":"x"}}]}',), (None,)]
     assert one(spark, "b binary", raw, nested.json_int_in_bytes("b")) == [3, None, None, None]
 

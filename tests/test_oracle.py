@@ -6,9 +6,10 @@ import pytest
 from run_checks import compare, connect
 
 import __spark_entry__ as entry
+from conformance.registry import CHECKS
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = {n: c.run for n, c in CHECKS.items()}, {n: c.sql for n, c in CHECKS.items()}
 
 
 @pytest.fixture(scope="module")
@@ -19,11 +20,12 @@ def duck():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     problem = compare(QUERIES[name](spark, SF_DIR), duck, ORACLES[name])
-    assert problem in (None, "no rows"), problem
+    assert problem is None, problem
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert all(ORACLES.values())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry_has_rows(spark):

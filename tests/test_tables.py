@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import plan_text, rows
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from conformance.registry import AS_OF, BUSINESS, CFG, DAYS, EARLY, FIRST_HOUR,
 from conformance.tables import warehouse
 from marginlab import Period, Warehouse
 from marginlab.operators import dims, quality
+from marginlab.operators.history import validity_intervals
 from marginlab.plans import dataset, health, hourly
 from marginlab.sources import scans, sink
 from marginlab.streaming.hourly_run import hour_bounds, hourly_run
@@ -66,16 +69,52 @@ def test_sink_replaces_only_its_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path), "dt", "v") == [("a", 1), ("b", 3)]
 
 
-def test_hourly_run_is_idempotent(spark, tmp_path):
-    wh, path = warehouse(spark, SF_DIR), str(tmp_path / "hourly")
-    runs = []
-    for _ in range(2):
-        hourly_run(wh, CFG, FIRST_HOUR, path, AS_OF, LIMIT_DAYS, until=LAST_HOUR)
-        runs.append(rows(spark.read.parquet(path)))
-    assert runs[0] and runs[0] == runs[1]
+def test_an_hour_that_becomes_empty_is_emptied(spark, tmp_path):
+    wh, path, hour = warehouse(spark, SF_DIR), str(tmp_path / "hourly"), "2000-07-26T22:00:00Z"
+    part = sink.partition_path(path, "dt", hour)
+    hourly_run(wh, CFG, hour, path, AS_OF, LIMIT_DAYS)
+    first = rows(spark.read.parquet(part))
+    hourly_run(wh, CFG, hour, path, AS_OF, LIMIT_DAYS)
+    assert first and rows(spark.read.parquet(part)) == first
+    hourly_run(wh, CFG, "2000-07-26T23:00:00Z", path, AS_OF, LIMIT_DAYS)
+    none = wh.with_tables(impressions=wh.impressions.limit(0), matched_installs=wh.matched_installs.limit(0),
+                          unmatched_installs=wh.unmatched_installs.limit(0), matched_app_events=wh.matched_app_events.limit(0),
+                          unmatched_app_events=wh.unmatched_app_events.limit(0), app_events=wh.app_events.limit(0))
+    hourly_run(none, CFG, hour, path, AS_OF, LIMIT_DAYS)
+    assert rows(spark.read.parquet(part)) == []
     assert hour_bounds("2024-02-28T23:00:00Z")[1] == "2024-02-29T00:00:00Z"
 
 
+def test_many_tasks_write_few_files(spark, tmp_path):
+    path = str(tmp_path / "few")
+    df = spark.range(0, 8000, 1, 8).selectExpr("cast(id % 20 as string) AS dt", "id AS v")
+    sink.write_partitions(df, path)
+    assert sum(1 for _ in Path(path).rglob("*.parquet")) <= 40
+    assert spark.read.parquet(path).count() == 8000
+
+
+def test_a_log_that_grows_changes_no_interval_of_an_earlier_day(spark):
+    day = lambda d: f"2024-01-{d:02} 00:00:00"
+    log = [(1, 1, day(1)), (2, 1, day(2))]
+    df = lambda r: spark.createDataFrame(r, "change_id long, k int, t string").withColumn("t", F.to_timestamp("t"))
+    then = rows(validity_intervals(df(log), ["k"], "t", "2024-01-03"), "change_id", "valid_from", "valid_to")
+    now = rows(validity_intervals(df([*log, (3, 1, day(5))]), ["k"], "t", "2024-01-03"), "change_id", "valid_from", "valid_to")
+    assert then == now and len(then) == 2
+
+
+def test_snapshots_after_as_of_are_not_seen(spark):
+    df = spark.createDataFrame([("2024-01-02T00:00:00Z", 1), ("2024-01-05T00:00:00Z", 2)], "dt string, v int")
+    assert rows(scans.latest_snapshot(df, "2024-01-03"), "v") == [(1,)]
+
+
+def test_ages_count_to_the_day(spark):
+    made = spark.createDataFrame(
+        [(1, "2024-01-01 12:00:00"), (2, "2024-01-01 00:00:00")], "id long, created_at string"
+    ).selectExpr("id", "to_timestamp(created_at) AS created_at", "5000D AS daily_revenue_limit", "1 AS campaign_type_id", "'enabled' AS state")
+    for as_of in ("2024-02-03", "2024-02-03 15:00:00"):
+        assert rows(dims.eligible_campaigns(made, as_of, CFG), "id") == [(2,)]
+
+
 def test_large_plans_have_no_cross_join_and_no_python(spark):
     wh = warehouse(spark, SF_DIR)
     for df in (
