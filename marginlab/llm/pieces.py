@@ -16,12 +16,13 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 
 #: Bytes of text handed to the library at once, and pieces a worker remembers.
 BATCH_BYTES = 256 << 10
-REMEMBERED = 700_000
+REMEMBERED = 1_000_000
 
 #: Punctuation after a Latin letter: always a pre-token of its own.
 _TAIL = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ſ])[.,!?;:|%#$&*]+\Z")
@@ -42,11 +43,10 @@ class _Memory:
     def cut(self, texts: list[str | None]) -> list[list[str]]:
         """The pieces of each text, all of them known from here on."""
         cut = [pieces(t, self.space) if t else [] for t in texts]
-        met = set().union(*cut)
-        new = met.difference(self.known)
+        new = set(filterfalse(self.known.__contains__, chain.from_iterable(cut)))
         if len(self.known) + 2 * len(new) > self.remembered:
             # Pieces of the present batch stay: they hold the frequent ones.
-            self.known = {p: self.known[p] for p in met.intersection(self.known)}
+            self.known = {p: self.known[p] for p in set().union(*cut).intersection(self.known)}
         self._add(new)
         return cut
 
@@ -133,7 +133,7 @@ def pieces(text: str, space: str = " ") -> list[str]:
         if not part or part[0].isspace() or part[-1].isspace():
             break
     else:
-        return [parts[0], *[space + p for p in parts[1:]]] if space else parts
+        return [parts[0], *map(space.__add__, parts[1:])] if space else parts
     out = [parts[0]]
     for before, part in zip(parts, parts[1:]):
         safe = before and part and not before[-1].isspace() and not part[0].isspace()
