@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marginlab.llm.decontaminate import drop_contaminated
 from marginlab.llm.mixing import domain_tree, mix
 from marginlab.llm.quality_rules import clean_documents
+from marginlab.llm.ship import ship
 from marginlab.llm.simhash import drop_near_copies
 from marginlab.llm.token_output import token_digests, write_tokens
 from marginlab.session import new_shared_path
@@ -61,6 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
+    ship(spark)
     path = new_shared_path(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from marginlab.llm.mixing import domain_tree, mix
 from marginlab.llm.oracles import ORACLES  # noqa: F401
 from marginlab.llm.quality_classifier import fit_quality, quality_scores
 from marginlab.llm.quality_rules import quality_verdicts
+from marginlab.llm.ship import ship
 from marginlab.llm.simhash import simhash_groups
 from marginlab.llm.substring_dedup import remove_repeats
 from marginlab.llm.token_counts import token_counts
@@ -25,8 +27,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
