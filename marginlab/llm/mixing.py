@@ -83,7 +83,13 @@ def _order(seed: int, epoch: Column, key: str) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
-def _cuts(rows: DataFrame, leaves: DataFrame, names: list[str]) -> DataFrame:
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """The table written and read: Spark then knows its size and broadcasts it only if it is small."""
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _cuts(rows: DataFrame, leaves: DataFrame, names: list[str], path: str) -> DataFrame:
     """For each leaf with a part epoch, the first (order, key, tie) that its rest does not hold.
 
     ``rows`` has the level names, ``order``, ``key``, ``tie`` and ``n``. Sums by the
@@ -102,6 +108,7 @@ def _cuts(rows: DataFrame, leaves: DataFrame, names: list[str]) -> DataFrame:
             F.min(F.when(F.col("upto") > F.col("rest"), F.col("digits"))).alias("head"),
             F.max(F.greatest("before", F.when(F.col("upto") <= F.col("rest"), F.col("upto")))).alias("before"),
         )
+        cut = _stored(cut, f"{path}/cut-{step}")
     here = rows.join(cut, names).where(F.expr("startswith(order, head)"))
     running = Window.partitionBy(*names).orderBy("order", F.asc_nulls_first("key"), "tie").rowsBetween(Window.unboundedPreceding, 0)
     here = here.withColumn("upto", F.col("before") + F.sum("n").over(running)).where("upto > rest")
@@ -135,20 +142,17 @@ def mix(
     slim = marked.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("tie"), "__mix.*")
     slim.write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows").withColumnRenamed("n_tokens", "n")
-    rows.groupBy(*names).agg(F.sum("n").alias("tokens")).write.parquet(f"{path}/leaves")
-    leaves = spark.read.parquet(f"{path}/leaves")
+    leaves = _stored(rows.groupBy(*names).agg(F.sum("n").alias("tokens")), f"{path}/leaves")
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     most = int(budget * total) if isinstance(budget, float) else budget
     got = leaf_budgets(leaves, levels, most, max_epochs)
     got = got.withColumn("epochs", F.expr("got div tokens")).withColumn("rest", F.expr("got % tokens"))
-    got.write.parquet(f"{path}/budgets")
-    got = spark.read.parquet(f"{path}/budgets").select(*names, "epochs", "rest")
+    got = _stored(got.select(*names, "epochs", "rest"), f"{path}/budgets")
     seeded = rows.join(got, names).withColumn("order", _order(seed, F.col("epochs"), "key"))
     seeded = seeded.select(*names, "key", "tie", "n", "order")
-    # A bounded part of the rows: one cut per leaf.
-    _cuts(seeded, got, names).write.parquet(f"{path}/cuts")
-    plan = got.join(spark.read.parquet(f"{path}/cuts"), names, "left")
-    plan = plan.select(F.struct(*names).alias("__leaf"), F.struct("epochs", "cut").alias("__plan"))
+    # One row per leaf; with its size known, texts stay where they are.
+    plan = got.join(_cuts(seeded, got, names, path), names, "left")
+    plan = _stored(plan.select(F.struct(*names).alias("__leaf"), F.struct("epochs", "cut").alias("__plan")), f"{path}/plan")
     leaf = F.struct(*[F.col(f"__mix.{n}").alias(n) for n in names])
     chosen = marked.withColumn("__leaf", leaf).join(plan, "__leaf")
     place = F.struct(
