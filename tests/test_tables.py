@@ -13,7 +13,7 @@ from conformance.tables import warehouse
 from marginlab import Period, Warehouse
 from marginlab.operators import dims, quality
 from marginlab.operators.history import validity_intervals
-from marginlab.plans import dataset, health, hourly
+from marginlab.plans import dataset, eligibility, health, hourly
 from marginlab.sources import scans, sink
 from marginlab.streaming.hourly_run import hour_bounds, hourly_run
 
@@ -141,3 +141,34 @@ def test_unknown_tables_are_refused():
         Warehouse({"nope": None})
     with pytest.raises(KeyError):
         Warehouse({}).margins
+
+
+def test_catalog_names_and_columns(spark):
+    wh = warehouse(spark, SF_DIR)
+    wh.supply_hourly.withColumnRenamed("event_at", "happened").createOrReplaceTempView("supply_view")
+    found = Warehouse.from_catalog(
+        spark, {"supply_hourly": "supply_view"}, columns={"supply_hourly": {"happened": "event_at"}}
+    )
+    assert sorted(found.supply_hourly.columns) == sorted(wh.supply_hourly.columns)
+    period = Period("1996-01-01T00", "1996-06-30")
+    assert rows(health.group_totals(found, CFG, period)) == rows(health.group_totals(wh, CFG, period)) != []
+
+
+def test_long_and_short_exclusions_agree(spark):
+    wh = warehouse(spark, SF_DIR)
+    ids = [r[0] for r in wh.campaigns.select("id").orderBy("id").limit(60).collect()]
+    few = eligibility.install_goal_report(wh, CFG, AS_OF, exclude=ids)
+    many = eligibility.install_goal_report(wh, CFG, AS_OF, exclude=spark.createDataFrame([(i,) for i in ids], "id long"))
+    assert rows(few) == rows(many)
+    assert few.count() <= eligibility.install_goal_report(wh, CFG, AS_OF).count()
+
+
+def test_recent_days_are_bounded_as_text(spark, tmp_path):
+    path = str(tmp_path / "attr")
+    wh = warehouse(spark, SF_DIR)
+    wh.daily_attr_d7.write.parquet(path)
+    stored = wh.with_tables(daily_attr_d7=spark.read.parquet(path))
+    plan = plan_text(eligibility.margin_goal_report(stored, CFG, AS_OF))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "revenue_micros_d1" in line)
+    assert "GreaterThanOrEqual(dt,2001-12-17)" in scan
+    assert "LeftSemi" in plan
