@@ -122,6 +122,9 @@ def control_vs_experiment(
 ) -> DataFrame:
     """One row per pair of control and experiment changes with equal keys.
 
+    Every control change of a key meets every experiment change of it, as in the
+    published reports, so the result is quadratic in the changes of one key.
+
     ``key_side`` says from which side a key column is taken ("control" or
     "experiment"); with a full join the other side's lone rows show NULL there.
     ``fallback`` fills a missing column from another, ``{column: other}``.

@@ -101,9 +101,10 @@ def margin_history(
     events = margin_events(wh, cfg, with_config=with_config, with_limit=with_limit)
     # Unmatched log rows have no campaign and can meet no fact.
     events = events.filter(F.col("campaign_id").isNotNull())
-    paired = with_old_and_new(events, cfg.no_previous_margin, values)
+    paired = with_old_and_new(events, cfg.no_previous_margin, values, cfg.slice_by)
     return validity_intervals(
-        paired, ["campaign_id", "previous_margin_type"], "logged_at", as_of, lead=2, trunc=trunc, open_end=open_end
+        paired, ["campaign_id", "previous_margin_type"], "logged_at", as_of, lead=2, trunc=trunc,
+        slice_by=cfg.slice_by, open_end=open_end,
     )
 
 
@@ -116,6 +117,7 @@ def setting_history(
     as_of: str | datetime | date,
     op: str | None = None,
     where: Column | None = None,
+    slice_by: str | None = "week",
 ) -> DataFrame:
     """History of one logged setting by campaign, cut to hours."""
     present = json_has("new_values", key)
@@ -130,19 +132,19 @@ def setting_history(
         op=op,
         where=present if where is None else present & where,
     ).filter(F.col("campaign_id").isNotNull())
-    return validity_intervals(events, ["campaign_id"], "logged_at", as_of, lead=1, trunc="hour")
+    return validity_intervals(events, ["campaign_id"], "logged_at", as_of, lead=1, trunc="hour", slice_by=slice_by)
 
 
 def target_history(wh: Warehouse, cfg: Settings, as_of) -> DataFrame:
     return setting_history(
-        wh, wh.campaign_configs, cfg.log_configs, "target", "campaign_id", as_of
+        wh, wh.campaign_configs, cfg.log_configs, "target", "campaign_id", as_of, slice_by=cfg.slice_by
     )
 
 
 def threshold_history(wh: Warehouse, cfg: Settings, as_of, numeric: bool = False) -> DataFrame:
     """Threshold history. The logged text is kept; ``numeric`` casts it."""
     out = setting_history(
-        wh, wh.campaign_configs, cfg.log_configs, "threshold", "campaign_id", as_of
+        wh, wh.campaign_configs, cfg.log_configs, "threshold", "campaign_id", as_of, slice_by=cfg.slice_by
     )
     return out.withColumn("threshold", F.col("threshold").try_cast("double")) if numeric else out
 
@@ -153,5 +155,5 @@ def limit_history(wh: Warehouse, cfg: Settings, as_of, first_day: str, last_day:
         F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
     )
     return setting_history(
-        wh, wh.campaigns, cfg.log_campaigns, "daily_revenue_limit", "id", as_of, "update", days
+        wh, wh.campaigns, cfg.log_campaigns, "daily_revenue_limit", "id", as_of, "update", days, cfg.slice_by
     )

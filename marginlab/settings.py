@@ -93,6 +93,10 @@ class Settings:
     # traffic of an hour is so many tasks. The histories, which are small, are repeated as often.
     key_splits: int = 4
 
+    # Unit of the time slices in which neighbours of a key are looked for; None for whole keys.
+    # Shorter slices suit keys with very many changes.
+    slice_by: str | None = "week"
+
     # Reconciliation tolerance and snapshot age.
     tolerance: float = 0.001
     snapshot_days: int = 2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -14,6 +15,7 @@ from marginlab import Period, Warehouse
 from marginlab.operators import dims, quality
 from marginlab.operators.history import validity_intervals
 from marginlab.plans import dataset, eligibility, health, hourly
+from marginlab.plans.common import target_history
 from marginlab.sources import scans, sink
 from marginlab.streaming.hourly_run import hour_bounds, hourly_run
 
@@ -107,6 +109,12 @@ def test_snapshots_after_as_of_are_not_seen(spark):
     assert rows(scans.latest_snapshot(df, "2024-01-03"), "v") == [(1,)]
 
 
+def test_slices_do_not_change_histories(spark):
+    wh = warehouse(spark, SF_DIR)
+    found = [rows(target_history(wh, replace(CFG, slice_by=s), AS_OF)) for s in (None, "week", "month")]
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_ages_count_to_the_day(spark):
     made = spark.createDataFrame(
         [(1, "2024-01-01 12:00:00"), (2, "2024-01-01 00:00:00")], "id long, created_at string"
