@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginlab.llm.components import components
@@ -289,14 +289,36 @@ def simhash_groups(
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 4, blocks: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of its group; of repeated rows of that key, one.
+    """One row of each group: of its rows with the smallest key, the one with the least hash of its text, then of all columns.
 
-    Rows without a key stay: nothing tells them apart.
+    Rows without a key are compared with each other alone: of those in a group one
+    stays, also beside a row with a key.
+
+    Rows are stored with a number each and told apart by it. What is compared, counted
+    and joined is slim rows; no row is looked up by its key, however many rows share
+    one, and texts move only if the dropped numbers are too many to be broadcast.
     """
-    groups = simhash_groups(docs, width, radius, blocks, key, text)
-    gone = groups.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct()
-    # A merge join leaves the rows of a key together, sorted, so that counting them needs no other shuffle.
-    left = docs.join(gone.hint("merge"), docs[key] == gone["__gone"], "left_anti")
-    copy = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    left = left.withColumn("__copy", F.when(F.col(key).isNull(), 1).otherwise(copy))
-    return left.where("__copy = 1").drop("__copy")
+    spark = docs.sparkSession
+    path = new_shared_path(spark, "near-copies")
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(f"{path}/docs")
+    stored = spark.read.parquet(f"{path}/docs")
+    # Maps have no hash; rows that differ in nothing else are taken for equal.
+    hashed = [F.col(f"`{c}`") for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
+    place = F.struct(
+        F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("tie"), F.xxhash64(*hashed).alias("rest"), F.col("__row").alias("row")
+    )
+    placed = stored.select(place.alias("__place"), F.col(f"`{text}`").alias("__text"))
+    fingerprints(placed, width, "__place", "__text").select("fp", F.col("key").alias("place")).write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    keyless = F.col("place.key").isNull()
+    least = [F.min(F.when(~keyless, F.col("place"))).alias("keyed"), F.min(F.when(keyless, F.col("place"))).alias("keyless")]
+    rows.groupBy("fp").agg(*least).write.parquet(f"{path}/nodes")
+    nodes = spark.read.parquet(f"{path}/nodes")
+    roots = components(fingerprint_links(nodes, radius, blocks))
+    groups = nodes.join(roots, nodes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root"))
+    chosen = groups.agg(F.min("keyed").alias("keyed"), F.min("keyless").alias("keyless"))
+    chosen = chosen.select(F.explode(F.array("keyed.row", "keyless.row")).alias("row")).where("row is not null")
+    rows.select("place.row").join(chosen, "row", "left_anti").select(F.col("row").alias("__gone")).write.parquet(f"{path}/gone")
+    gone = spark.read.parquet(f"{path}/gone")
+    left = stored.join(gone, stored["__row"] == gone["__gone"], "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])

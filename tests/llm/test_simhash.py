@@ -126,3 +126,17 @@ def test_edge_rows(spark):
     kept = drop_near_copies(docs)
     assert kept.columns == docs.columns
     assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([3, 7, None, None], key=str)
+
+
+def test_rows_that_share_a_key_are_told_apart(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(0, one), (1, one), (1, two), (1, two), (2, two), (None, three), (None, three), (None, three), (5, one), (5, three)]
+    docs = documents(spark, rows).repartition(3)
+    kept = sorted([(r.doc_id, r.text) for r in drop_near_copies(docs).collect()], key=str)
+    assert kept == sorted([(0, one), (1, two), (5, three), (None, three)], key=str)
+
+
+def test_many_rows_of_one_key_keep_their_texts(spark):
+    texts = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(50)]
+    docs = documents(spark, [(7, t) for t in texts] * 2 + [(8, t) for t in texts])
+    assert sorted((r.doc_id, r.text) for r in drop_near_copies(docs).collect()) == sorted((7, t) for t in texts)
