@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginlab.llm.labelled import held_out, training_sample
+from marginlab.llm.labelled import held_out, once, training_sample
 
 STATISTICS = (
     "log_words", "word_bytes", "distinct_words", "repeats_in_a_row", "log_lines", "line_words", "repeated_lines",
@@ -123,11 +123,11 @@ def boost(x: np.ndarray, y: np.ndarray, p: BoostParameters) -> Trees:
 
 
 def _statistics_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, text, label) to (key, label, statistics)."""
+    """(key, text, label, tie) to (key, label, tie, statistics)."""
     for batch in batches:
         found = [statistics(x.as_py()) for x in batch.column(1)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.float64()))], ["key", "label", "x"]
+            [batch.column(0), batch.column(2), batch.column(3), pa.array(found, pa.list_(pa.float64()))], ["key", "label", "tie", "x"]
         )
 
 
@@ -143,9 +143,9 @@ def fit_quality(
     """
     sample = training_sample(docs, labels, label, parameters.most, key, text)
     kind = sample.schema["key"].dataType.simpleString()
-    sample = sample.select("key", F.col("text").cast("binary").alias("text"), "label")
-    found = sample.mapInArrow(_statistics_of, f"key {kind}, label int, x array<double>").toPandas()
-    found = found.sort_values(["key", "label"], kind="stable")
+    sample = sample.select("key", F.col("text").cast("binary").alias("text"), "label", "tie")
+    found = once(sample.mapInArrow(_statistics_of, f"key {kind}, label int, tie long, x array<double>"), "x").toPandas()
+    found = found.sort_values(["key", "label", "tie"], kind="stable")
     x = np.array(found["x"].tolist(), float).reshape(len(found), len(STATISTICS))
     return boost(x, found["label"].to_numpy(float), parameters)
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginlab.llm.labelled import held_out, training_sample
+from marginlab.llm.labelled import held_out, once, training_sample
 
 _WORD = re.compile(r"\w+")
 _ODD = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -115,11 +115,13 @@ def fit_toxicity(
         for batch in batches:
             found = [coordinates(t.as_py(), bits).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["order", "label", "at"]
+                [batch.column(0), batch.column(2), batch.column(3), pa.array(found, pa.binary())], ["key", "label", "tie", "at"]
             )
 
+    kind = sample.schema["key"].dataType.simpleString()
+    found = sample.select("key", "text", "label", "tie").mapInArrow(hashed, f"key {kind}, label int, tie long, at binary")
     order = F.xxhash64(F.col("key"), F.lit("order"))
-    found = sample.select(order.alias("order"), "text", "label").mapInArrow(hashed, "order long, label int, at binary")
+    found = once(found, "at").select(order.alias("order"), "label", "at")
     rows = sorted((r.order, r.label, bytes(r.at)) for r in found.toLocalIterator())
     return ftrl([(np.frombuffer(at, np.uint32), y) for _, y, at in rows], parameters)
 

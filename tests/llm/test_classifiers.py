@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 from conftest_llm import by_id, documents
 from marginlab.llm import queries
-from marginlab.llm.labelled import training_sample
+from marginlab.llm.labelled import once, training_sample
 from marginlab.llm.quality_classifier import BoostParameters, boost, fit_quality, quality_scores
 from marginlab.llm.toxicity import FtrlParameters, coordinates, fit_toxicity, ftrl, toxicity_scores
 from pyspark.sql import functions as F
@@ -100,3 +100,15 @@ def test_edge_rows(spark):
             assert [r.held_out for r in rows if r.doc_id is None] == [False]
     assert quality_scores(docs.limit(0), fit_quality(docs, none)).collect() == []
     assert toxicity_scores(docs.limit(0), fit_toxicity(docs, none)).collect() == []
+
+
+def test_sample_is_bounded_however_often_a_key_is_repeated(spark):
+    """Key 1 has a third of all rows and labels, in equal and in different texts."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2, 1500)] + [(1, 1)] * 700, "doc_id long, quality int")
+    for own in (["same"] * 3000, [f"t{i}" for i in range(3000)]):
+        docs = documents(spark, [(i, f"x{i}") for i in range(2, 1500)] + [(1, t) for t in own])
+        for most in (400, 100_000):
+            found = once(training_sample(docs, labels, "quality", most), "text").collect()
+            assert 0 < len(found) <= most
+            assert len({(r.key, r.label, r.text) for r in found}) == len(found)
+        assert sum(r.key == 1 for r in found) == (zlib.crc32(b"1") % 3 != 1) * len(set(own))
