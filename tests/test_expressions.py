@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from marginlab import Period, Settings

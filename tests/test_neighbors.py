@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from marginlab.operators.history import (
     any_change,

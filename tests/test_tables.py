@@ -6,7 +6,7 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
-from conftest import plan_text, rows
+from helpers import plan_text, rows
 from pyspark.sql import functions as F
 
 from conformance.registry import AS_OF, BUSINESS, CFG, DAYS, EARLY, FIRST_HOUR, LAST_HOUR, LIMIT_DAYS, TRAFFIC
