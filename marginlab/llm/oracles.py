@@ -145,9 +145,72 @@ SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+_LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+EXACT_DEDUP = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+  sha256(t) AS text_sha256
+FROM (SELECT doc_id, {_LOWER} AS t FROM documents) WINDOW same AS (PARTITION BY t)
+"""
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, {_LOWER} AS t FROM documents)
+),
+f AS (
+  SELECT lang, size, words[i:i + size - 1] AS p, count(*) AS f
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM pieces, range(1, 5) AS sizes(size))
+  GROUP BY ALL
+),
+words_of AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, p, f AS a FROM f WHERE size > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.p, a, k, x.f AS l, y.f AS r, CAST((2000000::HUGEINT * a) // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) AS c
+  JOIN f AS x ON x.lang = c.lang AND x.p = c.p[1:k]
+  JOIN f AS y ON y.lang = c.lang AND y.p = c.p[k + 1:c.size]
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, p[i:i + len - 1] AS p, max(a) AS most
+  FROM (SELECT lang, p, a, size, len, unnest(range(1, size - len + 2)) AS i FROM candidates, range(2, 4) AS lens(len) WHERE len < size)
+  GROUP BY ALL
+),
+ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM lowest LEFT JOIN inner_phrases USING (lang, p)
+  WHERE most IS NULL OR 100 * most < 80 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN words_of USING (lang) QUALIFY rank <= 2000
+"""
+
+_TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(_LOWER)
+
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+totals AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d),
+tf AS (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+counted AS (SELECT doc_id, n, term, count(*) AS tf FROM tf GROUP BY ALL),
+wanted AS (SELECT DISTINCT item_id, unnest(terms) AS term FROM (SELECT item_id, {_TERMS} AS terms FROM benchmark)),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), totals
+),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN counted USING (term), totals GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 ORACLES = {
     "op2_quality_rules": QUALITY_RULES,
     "op5_mixing": MIXING,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op8_decontamination": DECONTAMINATION,
+    "op11_exact_dedup": EXACT_DEDUP,
+    "op12_collocations": COLLOCATIONS,
+    "op13_lexical_search": LEXICAL_SEARCH,
 }

@@ -9,8 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginlab.llm.collocations import collocations
 from marginlab.llm.decontaminate import contamination
+from marginlab.llm.exact_dedup import exact_groups
 from marginlab.llm.html_text import html_texts
+from marginlab.llm.lexical_search import search
 from marginlab.llm.mixing import domain_tree, mix
 from marginlab.llm.oracles import ORACLES  # noqa: F401
 from marginlab.llm.quality_classifier import fit_quality, quality_scores
@@ -94,3 +97,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
