@@ -24,8 +24,30 @@ import numpy as np
 BATCH_BYTES = 256 << 10
 REMEMBERED = 1_000_000
 
-#: Punctuation after a Latin letter: always a pre-token of its own.
-_TAIL = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ſ])[.,!?;:|%#$&*]+\Z")
+#: Punctuation and letters before it that can make it a pre-token of its own.
+_MARKS = ".,!?;:|%#$&*"
+_LETTERS = [c for c in map(chr, range(0x41, 0x180)) if c.isalpha()]
+
+
+def _tail(tokenizer) -> re.Pattern:
+    """Matches the punctuation at the end of a piece that the tokenizer encodes apart from what is before it.
+
+    Only after letters that stay one letter when they are normalised, and only if
+    the pre-tokenizer cuts between each of them and each mark.
+    """
+
+    def normalised(text: str) -> str:
+        return tokenizer.normalizer.normalize_str(text) if tokenizer.normalizer else text
+
+    def apart(letter: str, mark: str) -> bool:
+        text = normalised("x" + letter + mark)
+        cut = [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)] if tokenizer.pre_tokenizer else []
+        return len(text) == 3 and text[1].isalpha() and text[2] == mark and cut == [text[:2], mark]
+
+    letters = [c for c in _LETTERS if all(apart(c, m) for m in _MARKS)]
+    if not letters:
+        return re.compile(r"(?!)")
+    return re.compile(f"(?<=[{''.join(letters)}])[{re.escape(_MARKS)}]+\\Z")
 
 
 class _Memory:
@@ -39,6 +61,7 @@ class _Memory:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.space, self.remembered, self.known = space, remembered, {}
+        self.tail = _tail(self.tokenizer)
 
     def cut(self, texts: list[str | None]) -> list[list[str]]:
         """The pieces of each text, all of them known from here on."""
@@ -53,7 +76,7 @@ class _Memory:
     def _add(self, new: set[str]) -> None:
         known, split = self.known, {}
         for p in new:
-            if found := _TAIL.search(p):
+            if found := self.tail.search(p):
                 at = found.start()
                 split[p] = (p[:at], p[at:])
         single = new.difference(split).union(*split.values()).difference(known)
@@ -145,11 +168,11 @@ def pieces(text: str, space: str = " ") -> list[str]:
 
 
 def balanced(texts: Iterable[str], most: int) -> Iterator[list[str]]:
-    """The texts in batches of about ``most`` characters."""
+    """The texts in batches of about ``most`` bytes of UTF-8."""
     batch, held = [], 0
     for t in texts:
         batch.append(t)
-        held += len(t)
+        held += len(t) if t.isascii() else len(t.encode())
         if held >= most:
             yield batch
             batch, held = [], 0

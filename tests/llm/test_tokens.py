@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter
 
@@ -25,6 +26,7 @@ EDGE = [
     "", None, " ", "  \n ", "a  b", "x\n\ny  <|endoftext|>  z <|endoftext|>", " lead", "trail ",
     "a　b ́c é x", "it's I'll  can't 12 3,4", "İ ẞ ΑΣ ΑΣ. \t\t a \n b", "<|startoftext|> <|endoftext|>",
     "word, word. word!? word's x.y|z", "é, é, ſ. ŉ; ᾳ! 好, 好。 ①. ٣,", "\x00 a\x01 \x85 b c ​ d",
+    "SERGİ.", "GALERİ, SERGİ!", "YENİ: x", "İ. ŉ, ſ! ĸ? Ŀ; Ǆ: ß. ẞ.",
     "long" * 5000, "many words " * 3000,
 ]
 
@@ -37,13 +39,24 @@ def ids(path):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab e'́.,!|9\n\t 　sS<|endoftext>É好", max_size=60))
 def test_pieces_encode_as_the_whole_text(text):
-    whole = ids(BYTE)(text)
+    whole = ids_byte(text)
     assert np.frombuffer(PIECES["byte"].encode([text])[0], np.uint32).tolist() == whole
     assert PIECES["word"].count([text]) == [len(ids_word(text))]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_letters_before_punctuation(seed):
+    rnd = random.Random(seed)
+    letters = [chr(c) for c in range(0x41, 0x250)] + ["\u0301", "\u0307", "Σ", "ς", "ﬁ", "K", "Å"]
+    marks = [" ", " ", ".", ", ", "!", "?", ";", ":", "|", "%", "#", "$", "&", "*", "'", "’", "<", "_"]
+    for _ in range(1500):
+        text = "".join(rnd.choice(letters if rnd.random() < 0.6 else marks) for _ in range(rnd.randint(1, 12)))
+        assert PIECES["word"].count([text]) == [len(ids_word(text))], text
+        assert np.frombuffer(PIECES["byte"].encode([text])[0], np.uint32).tolist() == ids_byte(text), text
+
+
 PIECES = {"byte": PieceEncoder(BYTE, 50), "word": PieceCounter(WORD, 50)}
-ids_word = ids(WORD)
+ids_word, ids_byte = ids(WORD), ids(BYTE)
 
 
 def test_counts_of_edge_texts(spark):
