@@ -13,17 +13,22 @@ different blocks is the edge of a repeat (or a common phrase); there, the first
 occurrence of each block is extended window by window, and each window that
 occurs earlier is a repeat. Covering windows join up to the maximal repeats.
 
-Hashes have 64 bits: two different sequences of the compared kind collide with a
-chance of 2^-64 a pair.
+Words are hashed by XXH64, and so are the word hashes of a block or window that
+decide what is removed: two different ones are taken for equal with a chance of
+2^-64 a pair. Grams, and the test whether a block repeats itself, use sums that any
+range can be cut from; these only choose candidates, so that a collision costs
+time and no word.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +38,19 @@ from marginlab.session import new_shared_path
 CHUNK = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SALT = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
-_IS_WORD = np.ones(256, bool)
-_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+#: Words whose hashes a worker remembers.
+REMEMBERED = 500_000
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word, 20)
+        return h
+
+
+_WORD_HASHES = _WordHashes()
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -45,7 +60,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_UP, _DOWN = _powers(_BASE, CHUNK * 2), _powers(_INVERSE, CHUNK * 2)
+_UP, _DOWN = _powers(_BASE, CHUNK), _powers(_INVERSE, CHUNK)
 
 
 def _up_down(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,15 +106,13 @@ class Windows:
 
     def __init__(self, texts: list[bytes], length: int, gram: int):
         self.length, self.gram = length, gram
-        joined = b"\n".join(texts)
-        raw = np.frombuffer(joined, np.uint8)
-        edge = np.diff(np.concatenate([[False], _IS_WORD[raw], [False]]).astype(np.int8))
-        first, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        self._words = _prefix(_span(_prefix(_SALT[raw]), first, end))
-        text_ends = np.cumsum([len(t) + 1 for t in texts])
-        owner = np.searchsorted(text_ends, first, "right")
-        self.words_before = np.searchsorted(first, np.concatenate([[0], text_ends]))
-        n = len(first)
+        each = [t.split() for t in texts]
+        counts = [len(w) for w in each]
+        self.words_before = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        n = int(self.words_before[-1])
+        hashes = np.fromiter(map(_WORD_HASHES.__getitem__, chain.from_iterable(each)), np.uint64, n)
+        self._raw, self._words = hashes.tobytes(), _prefix(hashes)
+        owner = np.repeat(np.arange(len(texts)), counts)
         empty = np.zeros(0, np.int64)
         if n < length:
             self.at, self.doc, self.start, self.anchor = empty, empty, empty, empty.astype(np.uint64)
@@ -134,14 +147,15 @@ class Windows:
         at = np.flatnonzero(new)
         return k[at], np.concatenate([k[at[1:] - 1], k[-1:]]) + 1
 
-    def hashes(self, k: np.ndarray) -> np.ndarray:
-        """Hash of the words of each window."""
+    def sums(self, k: np.ndarray) -> np.ndarray:
+        """Equal for windows of equal words; others are told apart by ``hashes`` alone."""
         return _span(self._words, self.at[k], self.at[k] + self.length)
 
-    def block_hashes(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of the words of each run and of its number of windows."""
-        h = _span(self._words, self.at[first], self.at[end - 1] + self.length)
-        return _mix(h + (end - first).astype(np.uint64) * _BASE)
+    def hashes(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of the words of each run of windows."""
+        starts, ends = (self.at[first] * 8).tolist(), ((self.at[end - 1] + self.length) * 8).tolist()
+        digest, raw = xxhash.xxh64_intdigest, self._raw
+        return np.fromiter((digest(raw[a:b], 21) for a, b in zip(starts, ends)), np.uint64, len(starts))
 
 
 def _signed(h: np.ndarray) -> pa.Array:
@@ -209,14 +223,14 @@ def repeated_windows(docs: DataFrame, length: int, gram: int, key: str, text: st
         # A block that holds a window twice is extended window by window.
         inner = np.repeat(np.arange(len(first)), end - first)
         flat = np.arange(len(inner)) + np.repeat(first - (np.cumsum(end - first) - (end - first)), end - first)
-        own = w.hashes(flat) ^ inner.astype(np.uint64) * _BASE
+        own = w.sums(flat) ^ inner.astype(np.uint64) * _BASE
         order = np.argsort(own)
         twin = inner[order[1:][own[order[1:]] == own[order[:-1]]]]
         periodic = np.zeros(len(first), bool)
         periodic[twin] = True
         at = pa.array(start + w.doc[first])
         return [
-            _signed(w.block_hashes(first, end)), _signed(w.anchor[first]), batch.column(1).take(at), batch.column(2).take(at),
+            _signed(w.hashes(first, end)), _signed(w.anchor[first]), batch.column(1).take(at), batch.column(2).take(at),
             pa.array(w.start[first].astype(np.int32)), pa.array((end - first).astype(np.int32)), pa.array(periodic),
         ]
 
@@ -251,7 +265,7 @@ def repeated_windows(docs: DataFrame, length: int, gram: int, key: str, text: st
             out.append(np.repeat(base + s - (np.cumsum(n) - n), n) + np.arange(int(n.sum())))
         k = np.concatenate(out) if out else np.zeros(0, np.int64)
         at = pa.array(start + w.doc[k])
-        return [_signed(w.hashes(k)), batch.column(1).take(at), batch.column(2).take(at), pa.array(w.start[k].astype(np.int32))]
+        return [_signed(w.hashes(k, k + 1)), batch.column(1).take(at), batch.column(2).take(at), pa.array(w.start[k].astype(np.int32))]
 
     edged = texts.join(edges, "row").select("text", "key", "row", "spans")
     single = edged.mapInArrow(
