@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from marginlab.llm.text import n_words
 from marginlab.session import new_shared_path
 
-#: Hexadecimal digits of the order that a refinement of the cut looks at, and refinements.
-DIGITS, REFINEMENTS = 2, 2
+#: Hexadecimal digits of the order (32) and of the hash of the row (16) that the steps towards a cut look at.
+ORDER_STEPS, ROW_STEPS, PLACE_DIGITS = (2, 4, 32), (34, 36), 48
+#: Rows of one order in a leaf that are told apart in one step.
+CROWD = 100_000
 _EXACT = "decimal(18,0)"
 
 
@@ -62,7 +64,12 @@ def _share(children: DataFrame, parents: list[str], name: str) -> DataFrame:
 
 
 def leaf_budgets(leaves: DataFrame, levels: Sequence[Level], budget: int, max_epochs: int) -> DataFrame:
-    """(level names, tokens, got) of each leaf that has tokens and weight; ``leaves`` has one row per leaf."""
+    """(level names, tokens, got) of each leaf that has tokens and weight; ``leaves`` has one row per leaf.
+
+    What a node can take is the sum over its leaves that have weight on every level.
+    """
+    for level in levels:
+        leaves = leaves.where(level.weight > 0)
     names = [x.name for x in levels]
     parents, above = [], None
     for level in levels:
@@ -90,36 +97,41 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def _cuts(rows: DataFrame, leaves: DataFrame, names: list[str], path: str) -> DataFrame:
-    """For each leaf with a part epoch, the first (order, key, tie) that its rest does not hold.
+    """For each leaf with a part epoch, the first ``place`` that its rest does not hold, and how many rows of it fit (``fit``).
 
-    ``rows`` has the level names, ``order``, ``key``, ``tie`` and ``n``. Sums by the
-    leading digits of the order find the digits at which the rest is used up, then
-    the following digits among these alone. Only the rows under the last digits,
-    a small part even of a leaf with a third of all rows, are put in order.
+    ``rows`` has the level names, ``place`` and ``n``. Sums by the leading digits of
+    the place find the digits at which the rest is used up, then the following
+    digits among these alone. Sums are partial before they move, so neither a leaf with
+    a third of all rows, nor a key, nor equal rows that make up as much meet in a task.
     """
     cut = leaves.where("rest > 0").select(*names, "rest", F.lit("").alias("head"), F.lit(0).cast("long").alias("before"))
-    for step in range(1, REFINEMENTS + 1):
-        here = rows.join(cut, names).where(F.expr("startswith(order, head)"))
-        here = here.withColumn("digits", F.substring("order", 1, step * DIGITS))
-        sums = here.groupBy(*names, "rest", "before", "digits").agg(F.sum("n").alias("n"))
+    steps, done = [*ORDER_STEPS, PLACE_DIGITS], 0
+    while steps:
+        digits, done = steps.pop(0), done + 1
+        here = rows.join(cut, names).where(F.expr("startswith(place, head)"))
+        here = here.withColumn("digits", F.substring("place", 1, digits))
+        sums = here.groupBy(*names, "rest", "before", "digits").agg(F.sum("n").alias("n"), F.count("*").alias("rows"))
         running = Window.partitionBy(*names, "rest", "before").orderBy("digits")
         sums = sums.withColumn("upto", F.col("before") + F.sum("n").over(running))
-        cut = sums.groupBy(*names, "rest").agg(
-            F.min(F.when(F.col("upto") > F.col("rest"), F.col("digits"))).alias("head"),
-            F.max(F.greatest("before", F.when(F.col("upto") <= F.col("rest"), F.col("upto")))).alias("before"),
+        over = sums.where("upto > rest").select(*names, "rest", F.struct("digits", "upto", "n", "rows").alias("over"))
+        cut = over.groupBy(*names, "rest").agg(F.min("over").alias("over"))
+        cut = cut.select(
+            *names, "rest", F.col("over.digits").alias("head"), F.expr("over.upto - over.n").alias("before"), "over.n", "over.rows"
         )
-        cut = _stored(cut, f"{path}/cut-{step}")
-    here = rows.join(cut, names).where(F.expr("startswith(order, head)"))
-    running = Window.partitionBy(*names).orderBy("order", F.asc_nulls_first("key"), "tie").rowsBetween(Window.unboundedPreceding, 0)
-    here = here.withColumn("upto", F.col("before") + F.sum("n").over(running)).where("upto > rest")
-    return here.groupBy(*names).agg(F.min(F.struct("order", "key", "tie")).alias("cut"))
+        cut = _stored(cut, f"{path}/cut-{done}")
+        if digits == ORDER_STEPS[-1] and (cut.agg(F.max("rows")).first()[0] or 0) > CROWD:
+            steps = [*ROW_STEPS, *steps]
+        if steps:
+            cut = cut.drop("n", "rows")
+    # Rows of one place are equal, so they have equally many tokens.
+    return cut.select(*names, F.struct(F.col("head").alias("place"), F.expr("(rest - before) div (n div rows)").alias("fit")).alias("cut"))
 
 
 def mix(
     docs: DataFrame, levels: Sequence[Level], budget: int | float, max_epochs: int = 1, seed: int = 0,
-    key: str = "doc_id", text: str = "text",
+    key: str = "doc_id", text: str = "text", out: str = "__mix",
 ) -> DataFrame:
-    """The chosen rows of ``docs`` with ``__mix`` (struct of the level names, ``n_tokens`` and ``epoch``), once per epoch.
+    """The chosen rows of ``docs`` with ``out`` (struct of the level names, ``n_tokens`` and ``epoch``), once per epoch.
 
     Tokens are words. ``budget`` is a number of tokens, or a fraction of all of them if it is a float. All shares
     are whole numbers, rounded down. A document that does not fit ends its leaf's prefix.
@@ -129,18 +141,21 @@ def mix(
 
     A null text has no tokens; a null level is a node named ''. Leaves without
     tokens or weight get nothing. Rows that share a key come in the order of a
-    hash of their text; rows that are equal in both are chosen together. An empty
-    table gives an empty result.
+    hash of all their columns; of equal rows at the end of a prefix as many are taken as
+    fit. An empty table gives an empty result. Extra columns are kept, whatever their names; one named ``out`` is replaced.
     """
     spark, names = docs.sparkSession, [x.name for x in levels]
     path = new_shared_path(spark, "mix")
+    every = [F.col(f"`{c}`") for c in docs.columns]
     nodes = F.struct(
         *[F.coalesce(x.node.cast("string"), F.lit("")).alias(x.name) for x in levels],
         n_words(F.col(f"`{text}`")).alias("n_tokens"),
     )
-    marked = docs.withColumn("__mix", nodes)
-    slim = marked.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("tie"), "__mix.*")
-    slim.write.parquet(f"{path}/rows")
+    marked = docs.select(
+        F.struct(*[c for c, n in zip(every, docs.columns) if n != out]).alias("row"), nodes.alias("mix"),
+        F.col(f"`{key}`").alias("key"), F.lower(F.lpad(F.hex(F.xxhash64(*every)), 16, "0")).alias("tie"),
+    )
+    marked.select("key", "tie", "mix.*").write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows").withColumnRenamed("n_tokens", "n")
     leaves = _stored(rows.groupBy(*names).agg(F.sum("n").alias("tokens")), f"{path}/leaves")
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
@@ -148,25 +163,23 @@ def mix(
     got = leaf_budgets(leaves, levels, most, max_epochs)
     got = got.withColumn("epochs", F.expr("got div tokens")).withColumn("rest", F.expr("got % tokens"))
     got = _stored(got.select(*names, "epochs", "rest"), f"{path}/budgets")
-    seeded = rows.join(got, names).withColumn("order", _order(seed, F.col("epochs"), "key"))
-    seeded = seeded.select(*names, "key", "tie", "n", "order")
+    seeded = rows.join(got, names).withColumn("place", F.concat(_order(seed, F.col("epochs"), "key"), "tie"))
+    seeded = seeded.select(*names, "n", "place")
     # One row per leaf; with its size known, texts stay where they are.
     plan = got.join(_cuts(seeded, got, names, path), names, "left")
-    plan = _stored(plan.select(F.struct(*names).alias("__leaf"), F.struct("epochs", "cut").alias("__plan")), f"{path}/plan")
-    leaf = F.struct(*[F.col(f"__mix.{n}").alias(n) for n in names])
-    chosen = marked.withColumn("__leaf", leaf).join(plan, "__leaf")
-    place = F.struct(
-        _order(seed, F.col("__plan.epochs"), key).alias("order"), F.col(f"`{key}`").alias("key"),
-        F.xxhash64(F.col(f"`{text}`")).alias("tie"),
-    )
-    extra = F.when(F.coalesce(place < F.col("__plan.cut"), F.lit(False)), 1).otherwise(0)
-    times = (F.col("__plan.epochs") + extra).cast("int")
-    chosen = chosen.withColumn("__times", times).where("__times > 0")
-    chosen = chosen.withColumn("__epoch", F.explode(F.expr("sequence(0, __times - 1)")))
-    return chosen.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.struct("__mix.*", F.col("__epoch").alias("epoch")).alias("__mix"),
-    )
+    plan = _stored(plan.select(F.struct(*names).alias("leaf"), "epochs", "cut"), f"{path}/plan")
+    placed = marked.withColumn("leaf", F.struct(*[F.col(f"mix.{n}").alias(n) for n in names])).join(plan, "leaf")
+    place = F.concat(_order(seed, F.col("epochs"), "key"), "tie")
+    extra = F.when(F.coalesce(place < F.col("cut.place"), F.lit(False)), 1).otherwise(0)
+    chosen = placed.withColumn("times", (F.col("epochs") + extra).cast("int")).where("times > 0")
+    chosen = chosen.select("row", "mix", F.explode(F.expr("sequence(0, times - 1)")).alias("epoch"))
+    if plan.where("cut.fit > 0").limit(1).count():
+        # Equal rows that fit in part: one of them, as often as it fits.
+        equal = placed.where((place == F.col("cut.place")) & (F.col("cut.fit") > 0)).groupBy("leaf")
+        equal = equal.agg(*[F.any_value(c).alias(c) for c in ("row", "mix", "epochs", "cut")])
+        equal = equal.withColumn("copy", F.explode(F.expr("sequence(1L, cut.fit)")))
+        chosen = chosen.unionByName(equal.select("row", "mix", F.col("epochs").cast("int").alias("epoch")))
+    return chosen.select("row.*", F.struct("mix.*", "epoch").alias(out))
 
 
 def domain_tree(source: str = "source", lang: str = "lang") -> list[Level]:

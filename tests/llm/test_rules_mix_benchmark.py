@@ -12,6 +12,7 @@ import pytest
 from conftest_llm import SF_DIR, by_id, documents
 from marginlab.llm import queries
 from marginlab.llm.decontaminate import contamination, drop_contaminated
+from marginlab.llm import mixing
 from marginlab.llm.mixing import Level, domain_tree, mix
 from marginlab.llm.quality_rules import LineRules, clean_documents, quality_verdicts
 from pyspark.sql import functions as F
@@ -80,33 +81,37 @@ def test_cleaned_documents(spark):
 # Mixing
 
 
-def plain_shares(budget, children):
-    """{name: tokens} of (name, cap, weight): fill whoever fills up first, share the rest by weight."""
-    got, left = {}, [c for c in children if c[2] > 0 and c[1] > 0]
-    while left:
-        total = sum(w for *_, w in left)
-        full = [(n, c) for n, c, w in left if Fraction(c, w) <= Fraction(budget, total)]
-        if not full:
-            return got | {n: budget * w // total for n, _, w in left}
-        for n, c in full:
-            got[n] = c
-            budget -= c
-        left = [x for x in left if x[0] not in dict(full)]
-    return got
+def water_level(children, budget):
+    """The least level at which vessels of (capacity, width) hold the budget, or that fills them all; by bisection, then exactly."""
+    held = lambda x: sum(min(Fraction(c), w * x) for c, w in children)
+    top = max(Fraction(c, w) for c, w in children)
+    if held(top) <= budget:
+        return top
+    low, high = Fraction(0), top
+    corners = {Fraction(c, w) for c, w in children}
+    while any(low < c < high for c in corners):
+        middle = sorted(c for c in corners if low < c < high)[0]
+        low, high = (middle, high) if held(middle) <= budget else (low, middle)
+    rising = sum(w for c, w in children if Fraction(c, w) > low)
+    return low + (budget - held(low)) / rising
 
 
 def plain_mix(rows, weights, budget, epochs, seed):
-    """{(doc_id, epoch)} of rows (doc_id, path, tokens); weights by depth and name."""
-    cap = defaultdict(int)
-    for _, path, n in rows:
-        for k in range(1, len(path) + 1):
-            cap[path[:k]] += n * epochs
+    """{(doc_id, epoch)} of rows (doc_id, path, tokens); weights by depth and name.
+
+    A node holds what its leaves hold that a budget can reach. Nodes of a family are vessels as wide
+    as their weight with a common water level.
+    """
+    weight = lambda p: weights.get((len(p), p[-1]), 1)
+    reached = [(p, n) for _, p, n in rows if all(weight(p[:k]) > 0 for k in (1, 2, 3))]
     got = {(): budget}
-    for depth in range(1, 4):
-        for above in {p[:-1] for p in cap if len(p) == depth}:
-            if above in got:
-                children = [(p, cap[p], weights.get((depth, p[-1]), 1)) for p in cap if len(p) == depth and p[:-1] == above]
-                got |= plain_shares(got[above], children)
+    for depth in (1, 2, 3):
+        for above in [p for p in got if len(p) == depth - 1]:
+            family = {p[:depth] for p, n in reached if p[: depth - 1] == above and n > 0}
+            caps = {p: epochs * sum(n for q, n in reached if q[:depth] == p) for p in family}
+            if family:
+                level = water_level([(caps[p], weight(p)) for p in family], got[above])
+                got |= {p: min(caps[p], int(level * weight(p))) for p in family}
     out = set()
     for path in {p for p in got if len(p) == 3}:
         docs = [(i, n) for i, p, n in rows if p == path]
@@ -145,6 +150,40 @@ def test_mix_equals_the_definition(spark, seed, budget, epochs):
     assert {(r.doc_id, r.epoch) for r in found} == want
 
 
+def test_tokens_without_weight_leave_their_share_to_others(spark):
+    rows = [(i, "w", "a", "z") for i in range(100)] + [(100 + i, "w", "a", "x") for i in range(10)]
+    rows += [(200 + i, "w", "b", "x") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    levels = [Level("top", F.col("source"), F.lit(1)), Level("lang", F.col("lang"), F.expr("case lang when 'z' then 0 else 1 end"))]
+    found = {r[0]: r[1] for r in mix(df, levels, 100).groupBy("source").count().collect()}
+    assert found == {"a": 10, "b": 90}
+
+
+@pytest.mark.parametrize("crowd", [100_000, 3])
+def test_rows_that_share_a_key_are_taken_as_far_as_they_fit(spark, monkeypatch, crowd):
+    monkeypatch.setattr(mixing, "CROWD", crowd)
+    levels = [Level("top", F.lit("a"), F.lit(1))]
+    equal = documents(spark, [(1, "w " * 10)] * 10)
+    assert mix(equal, levels, 55).count() == 5
+    assert mix(equal, levels, 255, 4).groupBy("__mix.epoch").count().orderBy("epoch").collect() == [(0, 10), (1, 10), (2, 5)]
+    same_key = documents(spark, [(1, f"w{i} " * 10) for i in range(40)] + [(2, "x"), (None, "y")])
+    found = mix(same_key, levels, 255)
+    assert 24 <= found.count() <= 27 and found.distinct().count() == found.count()
+    assert sorted(r[0] for r in found.select("text").collect()) == sorted(r[0] for r in mix(same_key.repartition(3), levels, 255).select("text").collect())
+    beside = equal.withColumn("extra", F.monotonically_increasing_id())
+    assert mix(beside, levels, 55).select("extra").distinct().count() == 5
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    docs = documents(spark, [(1, "a b"), (2, "c")])
+    names = ["__times", "__epoch", "__leaf", "__plan", "row", "mix", "key", "tie", "leaf", "cut", "times", "epochs", "place", "a.b", "domain", "n"]
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id").cast("string")))
+    found = mix(docs, domain_tree(), 10, out="chosen")
+    assert found.columns == [*docs.columns, "chosen"]
+    assert sorted(tuple(r)[:-1] for r in found.collect()) == sorted(tuple(r) for r in docs.collect())
+
+
 def test_mix_edge_rows(spark):
     docs = documents(spark, [(1, "a b"), (1, "a b"), (2, None), (3, ""), (None, "c")]).withColumn("domain", F.lit(1)).withColumn("rest", F.lit(1))
     found = mix(docs, domain_tree(), 1.0, 1)
