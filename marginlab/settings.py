@@ -89,9 +89,9 @@ class Settings:
     # Length of the time buckets of as-of joins: about as long as a campaign takes for a
     # few dozen changes. Shorter buckets compare fewer pairs, longer ones repeat fewer intervals.
     bucket_days: int = 28
-    # Parts a (campaign, bucket) is cut into by as-of joins: a campaign with a third of the
-    # traffic of an hour is so many tasks. The histories, which are small, are repeated as often.
-    key_splits: int = 4
+    # Parts a (campaign, bucket) is cut into by as-of joins, with its histories repeated as often.
+    # None measures: heavy ones are cut in proportion to their size, others are not.
+    key_splits: int | None = None
 
     # Unit of the time slices in which neighbours of a key are looked for; None for whole keys.
     # Shorter slices suit keys with very many changes.
