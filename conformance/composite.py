@@ -11,6 +11,7 @@ from conformance.snippets import (
     CRM_NEWEST,
     EVENT_TABLES,
     IN_TYPES,
+    LOG_DAYS,
     MARGIN_EVENTS,
     TARGETS,
     first_of,
@@ -23,9 +24,13 @@ from conformance.snippets import (
 )
 from marginlab import Period
 from marginlab.functions import buckets, money, nested, times
-from marginlab.operators import dims, funnel, history, metrics, quality
+from marginlab.operators import dims, funnel, history, metrics, moments, quality
 from marginlab.operators.asof import History, as_of_enrich
 from marginlab.plans import common, dataset, track, updates
+from marginlab.session import new_shared_path
+from marginlab.sources import sink
+from marginlab.streaming.cohorts import CohortStore
+from marginlab.streaming.stored_history import StoredHistory
 
 
 @check("c1_change_events", EVENT_TABLES, f"""
@@ -52,6 +57,38 @@ def _(c):
     ).select("change_id", "campaign_id", "valid_from", "valid_to")
 
 
+# Log rows are numbered by order key, so each third of the numbers holds rows of all years: most are late.
+_THIRDS = (1, 2, 3)
+
+
+@check("c2_incremental_history", EVENT_TABLES, f"""
+WITH {TARGETS} SELECT campaign_id, valid_from, valid_to, val AS target FROM thist""", times="valid_from valid_to")
+def _(c):
+    events = common.setting_events(c.wh, c.wh.campaign_configs, CFG.log_configs, "target", "campaign_id")
+    kept = StoredHistory(c.spark, new_shared_path(c.spark, "target-history"), ["campaign_id"], slice_by="year")
+    greatest = c.wh.change_log.agg(F.max("change_id")).first()[0]
+    for k in _THIRDS:
+        kept.append(events.filter(F.col("change_id") <= greatest * k // len(_THIRDS)))
+    return kept.intervals(AS_OF, trunc="hour").select("campaign_id", "valid_from", "valid_to", "target")
+
+
+@check("c2_incremental_margins", EVENT_TABLES, f"""
+WITH {MARGIN_EVENTS}, {margin_history('hour')}
+SELECT campaign_id, valid_from, valid_to, margin_type, count(*) AS changes FROM mhist WHERE campaign_id IS NOT NULL
+GROUP BY ALL""", times="valid_from valid_to")
+def _(c):
+    events = common.margin_events(c.wh, CFG).filter(F.col("campaign_id").isNotNull())
+    kept = StoredHistory(
+        c.spark, new_shared_path(c.spark, "margin-history"), ["campaign_id", "previous_margin_type"], lead=2, slice_by="year"
+    )
+    greatest = c.wh.change_log.agg(F.max("change_id")).first()[0]
+    for k in _THIRDS[:2]:
+        kept.append(events.filter(F.col("change_id") <= greatest * k // 2))
+    kept.compact()
+    rows = kept.intervals(AS_OF, trunc="hour")
+    return rows.groupBy("campaign_id", "valid_from", "valid_to", "margin_type").agg(F.count(F.lit(1)).alias("changes"))
+
+
 @check("c3_with_previous", EVENT_TABLES, f"""
 WITH {MARGIN_EVENTS}
 SELECT change_id, campaign_id, margin_type, {old_new('999999')} FROM mev WHERE {IN_TYPES}""")
@@ -271,6 +308,68 @@ def _(c):
     )
 
 
+_UNIT = ("install__ad_click__impression__auction_id", "install__ad_click__impression__channel_id")
+
+
+@check("c13_late_events", "app_events", f"""
+WITH u AS (
+  SELECT strftime(make_timestamp(install__at * 1000), '%Y') AS cohort, custom_event_id, {', '.join(_UNIT)}, count(*) AS events,
+    sum(least(customer_revenue_micros, 500000000) / 1e6) AS x FROM app_events GROUP BY ALL)
+SELECT cohort, custom_event_id, CAST(sum(events) AS BIGINT) AS events, count(*) AS units, sum(x) AS sum_capped,
+  sum(x * x) AS sum_squared_capped FROM u GROUP BY ALL""", rounded="sum_capped:4 sum_squared_capped:2")
+def _(c):
+    rows = c.wh.app_events.select(
+        F.date_format(F.timestamp_millis("install__at"), "yyyy").alias("cohort"), "custom_event_id", *_UNIT,
+        F.lit(1).alias("events"), "customer_revenue_micros", "dt",
+    )
+    kept = CohortStore(
+        c.spark, new_shared_path(c.spark, "cohorts"), {"custom_event_id": "bigint"}, dict.fromkeys(_UNIT, "string"), ["events"],
+        "customer_revenue_micros", CFG.revenue_cap,
+    )
+    # The second batch has the later events of installs that the first has seen, and corrects their cohorts alone.
+    kept.add("until 1996", rows.filter(F.col("dt") < "1996-01-10"))
+    kept.add("since 1996", rows.filter(F.col("dt") >= "1996-01-10"))
+    return kept.result()
+
+
+# A unit is a campaign's day in a test group: its revenue and its installs.
+_UNITS = f"""
+units AS (SELECT platform, {AB} AS test_group, campaign_id, substr(dt, 1, 10) AS day, sum(revenue_micros / 1e6) AS x,
+    CAST(sum(installs) AS DOUBLE) AS y FROM supply_hourly WHERE {AB} IS NOT NULL GROUP BY ALL),
+intervals AS (
+  SELECT platform, test_group, count(*) AS units, sum(x) / nullif(sum(y), 0) AS ratio,
+    (var_samp(x) - 2 * ratio * covar_samp(x, y) + ratio * ratio * var_samp(y)) / (count(*) * avg(y) * avg(y)) AS variance
+  FROM units GROUP BY ALL)"""
+
+
+def _merged_moments(c):
+    units = c.wh.supply_hourly.withColumn("test_group", nested.ab_group("ab_test_assignments", CFG.test_id))
+    units = units.filter(F.col("test_group").isNotNull()).groupBy(
+        "platform", "test_group", "campaign_id", F.substring("dt", 1, 10).alias("day")
+    ).agg(F.sum(money.micros("revenue_micros")).alias("x"), F.sum("installs").alias("y"))
+    by_year = moments.unit_moments(units, ["platform", "test_group", F.substring("day", 1, 4).alias("year")], "x", "y")
+    return moments.merge_moments(by_year, ["platform", "test_group"])
+
+
+@check("a11_ratio_interval", "supply_hourly", f"""
+WITH {_UNITS}
+SELECT platform, test_group, units, ratio, variance, ratio - 1.959963984540054 * sqrt(variance) AS low,
+  ratio + 1.959963984540054 * sqrt(variance) AS high FROM intervals""", rounded="ratio:4 variance:3 low:3 high:3")
+def _(c):
+    return moments.ratio_interval(_merged_moments(c)).select("platform", "test_group", "units", "ratio", "variance", "low", "high")
+
+
+@check("a11_ratio_lift", "supply_hourly", f"""
+WITH {_UNITS}
+SELECT platform, c.ratio AS control_ratio, e.ratio AS experiment_ratio, e.ratio / c.ratio - 1 AS lift,
+  lift - 1.959963984540054 * sqrt(e.variance / pow(c.ratio, 2) + pow(e.ratio, 2) * c.variance / pow(c.ratio, 4)) AS low,
+  lift + 1.959963984540054 * sqrt(e.variance / pow(c.ratio, 2) + pow(e.ratio, 2) * c.variance / pow(c.ratio, 4)) AS high
+FROM intervals AS c JOIN intervals AS e USING (platform) WHERE c.test_group = 'control' AND e.test_group = 'experiment'""",
+       rounded="control_ratio:4 experiment_ratio:4 lift low high")
+def _(c):
+    return moments.ratio_lift(_merged_moments(c), ["platform"], "test_group", "control", "experiment")
+
+
 @check("c14_stack_funnel", "impressions matched_installs app_events", f"""
 SELECT campaign_id, CAST(sum(impressions) AS BIGINT) AS impressions, CAST(sum(installs) AS BIGINT) AS installs,
   CAST(sum(revenue) AS BIGINT) AS revenue FROM (
@@ -444,6 +543,21 @@ def _(c):
     return quality.reconcile(e, a, keys, ["revenue"])
 
 
+@check("c25_reconcile_both", "daily_fact published_dataset", """
+WITH e AS (SELECT dt, campaign_id, CAST(sum(revenue_micros) AS BIGINT) AS r FROM daily_fact WHERE campaign_id % 7 <> 3 GROUP BY ALL),
+a AS (SELECT dt, campaign_id, CAST(sum(test_revenue_micros) AS BIGINT) AS r FROM published_dataset WHERE campaign_id % 11 <> 5 GROUP BY ALL)
+SELECT coalesce(e.dt, a.dt) AS dt, coalesce(e.campaign_id, a.campaign_id) AS campaign_id,
+  CASE WHEN a.dt IS NULL THEN 'missing' WHEN e.dt IS NULL THEN 'unexpected' ELSE 'changed' END AS finding,
+  e.r AS expected_revenue, a.r AS actual_revenue, e.r / nullif(a.r, 0) - 1 AS delta_revenue
+FROM e FULL JOIN a ON e.dt = a.dt AND e.campaign_id = a.campaign_id
+WHERE a.dt IS NULL OR e.dt IS NULL OR abs(e.r / nullif(a.r, 0) - 1) >= 0.001 OR (a.r = 0 AND e.r <> 0)""", rounded="delta_revenue")
+def _(c):
+    keys = ["dt", "campaign_id"]
+    e = c.wh.daily_fact.filter("campaign_id % 7 <> 3").groupBy(*keys).agg(F.sum("revenue_micros").alias("revenue"))
+    a = c.wh.published_dataset.filter("campaign_id % 11 <> 5").groupBy(*keys).agg(F.sum("test_revenue_micros").alias("revenue"))
+    return quality.reconcile_both(e, a, keys, ["revenue"])
+
+
 @check("c26_previous_period", "daily_fact", """
 WITH d AS (SELECT campaign_id, dt, CAST(sum(revenue_micros) AS BIGINT) AS revenue, CAST(sum(installs) AS BIGINT) AS installs
   FROM daily_fact GROUP BY 1, 2)
@@ -481,6 +595,29 @@ def _(c):
     return track.margin_pairs(c.wh, CFG, AFTER, BEFORE, "inner", "experiment")
 
 
+def _in_force(name: str) -> str:
+    return f"last_value(CASE WHEN side = '{name}' THEN own END IGNORE NULLS) OVER upto AS {name[0]}"
+
+
+@check("c27_nearest_pairing", EVENT_TABLES, f"""
+WITH {MARGIN_EVENTS},
+sides AS (
+  SELECT campaign_id, logged_at, change_id, margin_type AS side, target, {{'n': net_m, 'o': oth_m,
+    'pn': coalesce(lag(net_m) OVER w, if(margin_type = 'control', 0, NULL)), 'po': coalesce(lag(oth_m) OVER w, if(margin_type = 'control', 0, NULL))}} AS own
+  FROM mev WHERE {IN_TYPES} AND {LOG_DAYS} WINDOW w AS (PARTITION BY campaign_id, margin_type ORDER BY logged_at, change_id)),
+timeline AS (
+  SELECT campaign_id, logged_at, change_id, side, {_in_force('control')}, {_in_force('experiment')},
+    last_value(CASE WHEN side = 'experiment' THEN {{'t': target}} END IGNORE NULLS) OVER upto AS t
+  FROM sides WHERE campaign_id IS NOT NULL
+  WINDOW upto AS (PARTITION BY campaign_id ORDER BY logged_at, change_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT campaign_id, logged_at, change_id, side, coalesce(c.pn, e.pn) AS control_old_network_gross_margin,
+  coalesce(c.po, e.po) AS control_old_other_gross_margin, c.n AS control_new_network_gross_margin, c.o AS control_new_other_gross_margin,
+  e.pn AS experiment_old_network_gross_margin, e.po AS experiment_old_other_gross_margin, e.n AS experiment_new_network_gross_margin,
+  e.o AS experiment_new_other_gross_margin, t.t AS target FROM timeline""", times="logged_at")
+def _(c):
+    return track.margin_pairs(c.wh, CFG, AFTER, BEFORE, "inner", "experiment", pairing="nearest")
+
+
 UPDATE_PERIOD = Period("1996-04-05", "2000-12-30")
 _PLACE = (("control", "network"), ("control", "other"), ("experiment", "network"), ("experiment", "other"))
 
@@ -518,6 +655,22 @@ merged AS (
 NET_COLUMNS = " ".join(f"new_{s}_{p}_net_margin" for s, p in _PLACE)
 
 
+@check("s7_publish_in_one_step", "daily_fact", """
+SELECT substr(dt, 1, 4) AS dt, campaign_id, CAST(sum(revenue_micros) AS BIGINT) AS revenue_micros FROM daily_fact
+WHERE substr(dt, 1, 4) <> '1997' GROUP BY ALL""")
+def _(c):
+    yearly = c.wh.daily_fact.groupBy(F.substring("dt", 1, 4).alias("dt"), "campaign_id").agg(
+        F.sum("revenue_micros").alias("revenue_micros")
+    )
+    path = new_shared_path(c.spark, "published")
+    years = [str(y) for y in range(1992, 2003)]
+    sink.publish_partitions(yearly.withColumn("revenue_micros", F.lit(0).cast("bigint")), path, years)
+    sink.publish_partitions(yearly, path, years)
+    # A year that is published without rows is empty, not missing.
+    sink.publish_partitions(yearly.limit(0), path, ["1997"])
+    return sink.read_published(c.spark, path, "campaign_id bigint, revenue_micros bigint")
+
+
 @check("c28_merge_update_sources", f"{EVENT_TABLES} daily_analysis", f"""
 WITH {MARGIN_EVENTS}, {update_branches()} SELECT * FROM merged""", times="min_update_at", rounded=NET_COLUMNS)
 def _(c):

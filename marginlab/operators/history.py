@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marginlab.functions.nested import json_scalar
 from marginlab.functions.times import moment
-from marginlab.operators.neighbors import with_neighbors
+from marginlab.operators.neighbors import with_last, with_neighbors
 
 
 def change_events(
@@ -143,6 +143,39 @@ def control_vs_experiment(
     return both.select(*picked, *rest)
 
 
+def nearest_pairs(
+    control: DataFrame,
+    experiment: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    fallback: Mapping[str, str] | None = None,
+    tie: str = "change_id",
+    slice_by: str | None = "week",
+) -> DataFrame:
+    """One row per change of either side, with the other side's last change up to its time.
+
+    As many rows as there are changes, however many fall on one day. Rows have ``keys``, ``ts``, ``tie``,
+    ``side`` ("control" or "experiment") and the columns of both sides; those of a side without a change so far are
+    NULL but for ``fallback``, ``{column: other}``. Equal times follow ``tie``. Columns beside the keys, ``ts``
+    and ``tie`` must have names of their own.
+    """
+    frame = {"control": control, "experiment": experiment}
+    own = {s: [c for c in df.columns if c not in (*keys, ts, tie)] for s, df in frame.items()}
+    packed = {s: F.struct(*[F.col(c) for c in own[s]]) for s in frame}
+    kinds = {s: frame[s].select(packed[s].alias("p")).schema["p"].dataType for s in frame}
+    rows = [
+        df.select(
+            *keys, ts, tie, F.lit(s).alias("side"),
+            *[(packed[s] if s == p else F.lit(None).cast(kinds[p])).alias(f"__{p}") for p in frame],
+        )
+        for s, df in frame.items()
+    ]
+    both = with_last(rows[0].unionByName(rows[1]), keys, ts, {f"__last_{p}": f"__{p}" for p in frame}, tie, slice_by)
+    values = {c: F.col(f"__last_{p}")[c] for p in frame for c in own[p]}
+    filled = [F.coalesce(v, values[fallback[c]]) if fallback and c in fallback else v for c, v in values.items()]
+    return both.select(*keys, ts, tie, "side", *[v.alias(c) for c, v in zip(values, filled)])
+
+
 def merge_update_sources(
     branches: Sequence[DataFrame], columns: Mapping[str, str]
 ) -> DataFrame:

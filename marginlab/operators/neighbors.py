@@ -66,3 +66,42 @@ def with_neighbors(
     return sliced.withColumns(out).drop(
         "__slice", "__part", "__before", "__after", *[f"__in_{name}" for name in shifts]
     )
+
+
+def with_last(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    columns: Mapping[str, str],
+    tie: str | None = "change_id",
+    slice_by: str | None = "week",
+) -> DataFrame:
+    """Add columns ``{name: column}``: the column's last value that is not NULL, up to this row, by key in time order.
+
+    As in ``with_neighbors`` the rows of a key are cut into time slices. The last values of a slice, one row,
+    are carried to later slices; a row without a value in its own slice takes those. Rows without a time come last.
+    """
+    order = [F.col(c).asc_nulls_last() for c in ([ts, tie] if tie else [ts])]
+    upto = (Window.unboundedPreceding, 0)
+    if slice_by is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
+        return df.withColumns({out: F.last(c, ignorenulls=True).over(w) for out, c in columns.items()})
+
+    sliced = df.withColumn("__slice", F.coalesce(F.date_trunc(slice_by, ts), F.lit(_NO_TIME).cast("timestamp")))
+    inside = Window.partitionBy(*keys, "__slice").orderBy(*order).rowsBetween(*upto)
+    here = sliced.withColumns({f"__in_{out}": F.last(c, ignorenulls=True).over(inside) for out, c in columns.items()})
+
+    # Times are compared as they come; those that are missing belong after all others.
+    place = F.struct(F.col(ts).isNull(), *[F.col(c) for c in ([ts, tie] if tie else [ts])])
+    ends = sliced.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__slice").alias("__k_slice")).agg(
+        *[F.max_by(F.struct(F.col(c)), F.when(F.col(c).isNotNull(), place)).alias(f"__end_{out}") for out, c in columns.items()]
+    )
+    before = Window.partitionBy(*[f"__k_{k}" for k in keys]).orderBy("__k_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumns(
+        {f"__end_{out}": F.last(F.when(F.col(f"__end_{out}")[c].isNotNull(), F.col(f"__end_{out}")), ignorenulls=True).over(before) for out, c in columns.items()}
+    )
+    on = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col("__slice") == F.col("__k_slice")]
+    both = here.join(carried, on, "left")
+    found = {out: F.coalesce(F.col(f"__in_{out}"), F.col(f"__end_{out}")[c]) for out, c in columns.items()}
+    extra = [f"__k_{k}" for k in keys] + [f"__{p}_{out}" for p in ("in", "end") for out in columns]
+    return both.withColumns(found).drop("__slice", "__k_slice", *extra)

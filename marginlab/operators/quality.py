@@ -6,9 +6,14 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginlab.sources.stored import stored
+
+#: Key ranges that two tables are compared by.
+RANGES = 4096
+
 
 def reconcile(
     expected: DataFrame,
@@ -40,3 +45,83 @@ def reconcile(
         for m in metrics
     ]
     return both.filter(reduce(or_, [F.coalesce(o, F.lit(False)) for o in off]))
+
+
+def _off(metric: str, tolerance: float) -> Column:
+    """True if a metric of both sides is off, also if one of them is NULL."""
+    e, a = F.col(f"expected_{metric}").cast("double"), F.col(f"actual_{metric}").cast("double")
+    apart = F.abs(F.try_divide(e, a) - F.lit(1.0)) >= tolerance
+    return F.coalesce(apart, F.lit(False)) | F.coalesce((a == 0) & (e != 0), F.lit(False)) | (e.isNull() != a.isNull())
+
+
+def differing_ranges(
+    expected: DataFrame, actual: DataFrame, keys: Sequence[str], metrics: Sequence[str], ranges: int = RANGES
+) -> DataFrame:
+    """``range`` of the key ranges whose rows are not the same on both sides.
+
+    A range is a part of the hashes of the keys. Each side is reduced to a count and two sums of
+    row hashes per range before anything moves. At most ``ranges`` rows.
+    """
+    def sums(df: DataFrame, side: str) -> DataFrame:
+        # A hash passes over NULLs, so they are told apart by a flag.
+        row = [x for c in (*keys, *metrics) for x in (F.col(c), F.col(c).isNull())]
+        return df.groupBy(key_range(keys, ranges).alias("range")).agg(
+            F.count(F.lit(1)).alias(f"{side}_n"),
+            F.sum(F.xxhash64(*row).cast("decimal(20,0)")).alias(f"{side}_a"),
+            F.sum(F.xxhash64(F.lit("again"), *row).cast("decimal(20,0)")).alias(f"{side}_b"),
+        )
+
+    both = sums(expected, "e").join(sums(actual, "a").withColumnRenamed("range", "__range"), F.col("range") == F.col("__range"), "full")
+    same = F.lit(True)
+    for c in ("n", "a", "b"):
+        same = same & F.col(f"e_{c}").eqNullSafe(F.col(f"a_{c}"))
+    return both.filter(~same).select(F.coalesce("range", "__range").alias("range"))
+
+
+def key_range(keys: Sequence[str], ranges: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(ranges)).cast("int")
+
+
+def reconcile_both(
+    expected: DataFrame,
+    actual: DataFrame,
+    keys: Sequence[str],
+    metrics: Sequence[str],
+    tolerance: float = 0.001,
+    ranges: int = RANGES,
+) -> DataFrame:
+    """Keys that one side lacks, or where some metric is off: ``finding`` is "missing", "unexpected" or "changed".
+
+    Ranges of keys whose checksums agree hold equal rows and are not compared. Only
+    rows of the other ranges are shuffled by key; the list of these is bounded by
+    ``ranges``, so it is broadcast. Each side is read twice, once for its checksums.
+
+    Keys may be NULL. Metrics of a repeated key add up; a key that occurs more often on one
+    side is "changed" only if its sums are off. A metric that is NULL on one side is off. The delta
+    is expected / actual - 1, an actual of zero is off unless the expected value is zero too.
+    """
+    wanted = stored(differing_ranges(expected, actual, keys, metrics, ranges), "ranges")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        rows = df.withColumn("__range", key_range(keys, ranges))
+        rows = rows.join(F.broadcast(wanted), F.col("__range") == F.col("range"), "left_semi")
+        return rows.groupBy(*[F.col(k).alias(f"__{name}_{k}") for k in keys]).agg(
+            *[F.sum(m).alias(f"{name}_{m}") for m in metrics], F.lit(True).alias(f"__{name}")
+        )
+
+    on = [F.col(f"__expected_{k}").eqNullSafe(F.col(f"__actual_{k}")) for k in keys]
+    both = side(expected, "expected").join(side(actual, "actual"), on, "full")
+    finding = (
+        F.when(F.col("__actual").isNull(), "missing")
+        .when(F.col("__expected").isNull(), "unexpected")
+        .when(reduce(or_, [_off(m, tolerance) for m in metrics]), "changed")
+    )
+    named = [F.when(F.col("__expected"), F.col(f"__expected_{k}")).otherwise(F.col(f"__actual_{k}")).alias(k) for k in keys]
+    deltas = [
+        (F.try_divide(F.col(f"expected_{m}").cast("double"), F.col(f"actual_{m}").cast("double")) - F.lit(1.0)).alias(f"delta_{m}")
+        for m in metrics
+    ]
+    out = both.select(
+        *named, finding.alias("finding"), *[f"expected_{m}" for m in metrics], *[f"actual_{m}" for m in metrics], *deltas
+    )
+    return out.filter(F.col("finding").isNotNull())

@@ -108,23 +108,21 @@ def margin_history(
     )
 
 
-def setting_history(
+def setting_events(
     wh: Warehouse,
     table: DataFrame,
     table_name: str,
     key: str,
     campaign: str,
-    as_of: str | datetime | date,
     op: str | None = None,
     where: Column | None = None,
-    slice_by: str | None = "week",
 ) -> DataFrame:
-    """History of one logged setting by campaign, cut to hours."""
+    """Logged changes of one setting with their campaign."""
     present = json_has("new_values", key)
     base = table.select(F.col("id"), F.col(campaign).alias("campaign_id")) if campaign != "id" else (
         table.select("id", F.col("id").alias("campaign_id"))
     )
-    events = change_events(
+    return change_events(
         wh.change_log,
         base,
         table_name,
@@ -132,6 +130,21 @@ def setting_history(
         op=op,
         where=present if where is None else present & where,
     ).filter(F.col("campaign_id").isNotNull())
+
+
+def setting_history(
+    wh: Warehouse,
+    table: DataFrame,
+    table_name: str,
+    key: str,
+    campaign: str,
+    as_of: str | datetime | date,
+    op: str | None = None,
+    where: Column | None = None,
+    slice_by: str | None = "week",
+) -> DataFrame:
+    """History of one logged setting by campaign, cut to hours."""
+    events = setting_events(wh, table, table_name, key, campaign, op, where)
     return validity_intervals(events, ["campaign_id"], "logged_at", as_of, lead=1, trunc="hour", slice_by=slice_by)
 
 

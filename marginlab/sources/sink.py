@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginlab.sources.manifest import Manifest
+
 # Characters that a partition folder's name holds in escaped form.
 _ESCAPED = re.compile(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
 
@@ -42,3 +46,39 @@ def write_partitions(df: DataFrame, path: str, part_col: str = "dt") -> None:
         .partitionBy(part_col)
         .parquet(path)
     )
+
+
+def _live(spark: SparkSession, path: str) -> Manifest:
+    return Manifest(spark, f"{path}/live", "value string, version string")
+
+
+def publish_partitions(
+    df: DataFrame, path: str, values: Sequence[str], part_col: str = "dt", within: Sequence[str] = ()
+) -> None:
+    """Replace the partitions ``values`` in one step, those without rows too.
+
+    ``df`` holds rows of these partitions alone. They are written beside the live
+    ones; one row for each in the list of live versions then puts them in their place.
+    A reader meets the old partitions or the new ones, never a part, and a write that
+    fails changes nothing. ``read_published`` reads them; older versions stay until
+    ``live_versions`` tells a cleaner that they can go. ``within`` are text columns by
+    which the rows of a partition are laid out further, for readers that filter by them.
+    """
+    version = uuid.uuid4().hex
+    columns = [part_col, *within]
+    dealt = df.withColumn(part_col, F.col(part_col).cast("string")).hint("rebalance", *[F.col(c) for c in columns])
+    dealt.write.partitionBy(*columns).parquet(f"{path}/versions/version={version}")
+    _live(df.sparkSession, path).append([(v, version) for v in values])
+
+
+def live_versions(spark: SparkSession, path: str) -> DataFrame:
+    """(value, version) of each published partition."""
+    rows = _live(spark, path).rows()
+    return rows.groupBy("value").agg(F.max_by("version", "seq").alias("version"))
+
+
+def read_published(spark: SparkSession, path: str, schema: str, part_col: str = "dt") -> DataFrame:
+    """The live partitions. ``schema`` is that of the rows without the partition column."""
+    every = spark.read.schema(f"{schema}, version string, {part_col} string").parquet(f"{path}/versions")
+    live = live_versions(spark, path).withColumnsRenamed({"value": part_col})
+    return every.join(live, [part_col, "version"], "left_semi").drop("version")
