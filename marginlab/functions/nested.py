@@ -19,7 +19,9 @@ def json_scalar(c: str | Column, key: str) -> Column:
     path = f"$.{key}"
     value = F.get_json_object(col(c), path)
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(col(c)), path, "variant"))
-    nested = value.rlike(r"^[\[{]") & F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
+    # A NULL on the left would not keep Spark from evaluating the right.
+    begins = F.coalesce(F.substring(value, 1, 1).isin("[", "{"), F.lit(False))
+    nested = begins & F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
     return F.when(~nested, value)
 
 
