@@ -13,9 +13,9 @@ different blocks is the edge of a repeat (or a common phrase); there, the first
 occurrence of each block is extended window by window, and each window that
 occurs earlier is a repeat. Covering windows join up to the maximal repeats.
 
-Words are hashed by XXH64, and so are the word hashes of a block or window that
-decide what is removed: two different ones are taken for equal with a chance of
-2^-64 a pair. Grams, and the test whether a block repeats itself, use sums that any
+Words have 64-bit hashes that mix their bytes without sums, and the word hashes of a
+block or window that decides what is removed are hashed by XXH64: two different
+ones are taken for equal with a chance of 2^-64 a pair. Grams, and the test whether a block repeats itself, use sums that any
 range can be cut from; these only choose candidates, so that a collision costs
 time and no word.
 """
@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,19 +37,10 @@ from marginlab.session import new_shared_path
 CHUNK = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Words whose hashes a worker remembers.
-REMEMBERED = 500_000
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word, 20)
-        return h
-
-
-_WORD_HASHES = _WordHashes()
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+#: Keeps the first bytes of eight, by their number.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -70,8 +60,26 @@ def _up_down(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
+    """One number for each, told apart wherever the given are."""
+    h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
     h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ h >> np.uint64(29)
+    return h ^ h >> np.uint64(32)
+
+
+def _word_hashes(raw: bytes, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words of a text that lie between the given places.
+
+    Words of up to 16 bytes are one or two whole numbers and a length, mixed so that
+    those of up to 8 bytes cannot collide; longer words, which are few, are hashed by XXH64.
+    """
+    size = end - first
+    eight = np.ndarray(len(raw) + 9, "<u8", raw + bytes(16), strides=(1,))
+    low = eight[first] & _FIRST_BYTES[np.minimum(size, 8)]
+    high = eight[np.minimum(first + 8, len(raw))] & _FIRST_BYTES[np.clip(size - 8, 0, 8)]
+    h = _mix(_mix(low ^ size.astype(np.uint64) * _BASE) + high * np.uint64(0xC2B2AE3D27D4EB4F))
+    for k in np.flatnonzero(size > 16).tolist():
+        h[k] = xxhash.xxh64_intdigest(raw[first[k] : end[k]], 20)
+    return h
 
 
 def _prefix(values: np.ndarray) -> np.ndarray:
@@ -106,13 +114,15 @@ class Windows:
 
     def __init__(self, texts: list[bytes], length: int, gram: int):
         self.length, self.gram = length, gram
-        each = [t.split() for t in texts]
-        counts = [len(w) for w in each]
-        self.words_before = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        n = int(self.words_before[-1])
-        hashes = np.fromiter(map(_WORD_HASHES.__getitem__, chain.from_iterable(each)), np.uint64, n)
+        joined = b"\n".join(texts)
+        edge = np.diff(np.concatenate([[False], _IS_WORD[np.frombuffer(joined, np.uint8)], [False]]).astype(np.int8))
+        first, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        hashes = _word_hashes(joined, first, end)
         self._raw, self._words = hashes.tobytes(), _prefix(hashes)
-        owner = np.repeat(np.arange(len(texts)), counts)
+        text_ends = np.cumsum([len(t) + 1 for t in texts])
+        owner = np.searchsorted(text_ends, first, "right")
+        self.words_before = np.searchsorted(first, np.concatenate([[0], text_ends]))
+        n = len(first)
         empty = np.zeros(0, np.int64)
         if n < length:
             self.at, self.doc, self.start, self.anchor = empty, empty, empty, empty.astype(np.uint64)

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from conftest_llm import SF_DIR, by_id, documents
 from marginlab.llm import queries
-from marginlab.llm.substring_dedup import Windows, remove_repeats
+from marginlab.llm.substring_dedup import Windows, _word_hashes, remove_repeats
 from pyspark.sql import functions as F
 
 
@@ -93,6 +93,15 @@ def test_repeated_rows_null_keys_and_no_rows(spark):
     assert remove_repeats(docs.limit(0)).collect() == []
 
 
+def test_words_of_any_length_have_hashes_of_their_own():
+    words = [b"ab"[k % 2 : k % 2 + 1] * n + tail for k in range(2) for n in range(40) for tail in (b"", b"\0", b"\0\0", b"x", "é".encode())]
+    words = sorted({w for w in words if w})
+    raw = b" ".join(words * 2)
+    ends = np.cumsum([len(w) + 1 for w in words * 2]) - 1
+    found = _word_hashes(raw, ends - [len(w) for w in words * 2], ends)
+    assert len(set(found.tolist())) == len(words) and (found[: len(words)] == found[len(words) :]).all()
+
+
 def test_equal_windows_share_their_anchor():
     rnd = random.Random(3)
     texts = [" ".join(rnd.choice("ab") for _ in range(80)).encode() for _ in range(30)]
