@@ -1,11 +1,14 @@
 """Token ids as binary files, in the order of the documents.
 
-Format. A dataset is two Parquet tables in one folder:
+Format. A dataset is Parquet tables in one folder:
 
 ``ranks``  (rank, id): ids by falling frequency in the dataset, ties by id.
-``ids``    one row per document: ``shard`` and ``seq`` (its place: shards in
-           turn, rows of a shard in turn), ``doc_id``, ``start`` (ids of the
-           shard before it), ``n_tokens``, ``control`` and ``data``.
+``ids``    one row per document: ``shard``, ``chunk`` and ``seq`` (its place: shards in
+           turn, chunks of a shard in turn, rows in turn), ``doc_id``, ``start`` (ids of the
+           shard before it), ``n_tokens``, ``control`` and ``data``. A chunk is one file,
+           in a folder named by shard and chunk, so files in the order of their paths hold
+           the documents in ascending order.
+``key``    no rows; the type of ``doc_id``.
 
 ``data`` holds the rank of each id in as many bytes as it needs (1 to 4, low byte
 first); the 256 most frequent ids take one. ``control`` holds the byte counts less
@@ -28,6 +31,9 @@ from marginlab.llm.pieces import by_size, encoder
 #: Characters of text that a worker cuts and encodes at once.
 CHUNK = 4 << 20
 
+#: Bytes of ids of a chunk, which is one file: less than a row group of Parquet, so no file is split between readers.
+FILE_BYTES = 32 << 20
+
 #: Byte counts of the four ids under each control byte.
 _COUNTS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64)
 
@@ -65,8 +71,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     ``tokenizer`` is the path of a byte-level file of the ``tokenizers`` library,
     at the same place on each executor; no special tokens are added. ``path`` must
     be a folder that all executors reach. Documents are in ascending order of
-    ``key``, nulls first, and those with equal keys by a hash of their text, so
-    that even a key that many rows share is dealt over many shards.
+    ``key``, nulls first, and those with equal keys by a hash of their text, then by their place
+    in the input, so that even equal rows that are very many are dealt over many shards.
 
     Texts are shuffled once, by range, and encoded once. The ids go to a working
     table below ``path``; counts of all of them give the ranks (one row per id of
@@ -80,37 +86,42 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    rows = rows.withColumns({"tie": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange("doc_id", "tie", "place").sortWithinPartitions("doc_id", "tie", "place")
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seq, start = encoder(tokenizer), 0, 0
+        words, seq, start, chunk, held = encoder(tokenizer), 0, 0, 0, 0
         for batch in batches:
             keys, shards, texts = batch.column(0), batch.column(2), batch.column(1).to_pylist()
             for a, b in by_size(texts, CHUNK):
                 found = [x + end for x in words.encode(texts[a:b])]
                 sizes = np.array([len(x) // 4 for x in found], np.int64)
                 starts = start + np.cumsum(sizes) - sizes
+                chunk, held = (chunk + 1, 0) if held >= FILE_BYTES else (chunk, held)
+                held += int(sizes.sum()) * 4
                 yield pa.RecordBatch.from_arrays(
                     [
                         shards.slice(a, b - a),
+                        pa.array([f"{chunk:06}"] * (b - a)),
                         pa.array(np.arange(seq, seq + b - a)),
                         keys.slice(a, b - a),
                         pa.array(starts),
                         pa.array(sizes),
                         pa.array([_narrow(x) for x in found], pa.binary()),
                     ],
-                    ["shard", "seq", "doc_id", "start", "n_tokens", "raw"],
+                    ["shard", "chunk", "seq", "doc_id", "start", "n_tokens", "raw"],
                 )
                 seq, start = seq + b - a, start + int(sizes.sum())
 
-    place = f"shard int, seq long, doc_id {kind}, start long, n_tokens long"
-    encoded = rows.select("doc_id", "text", F.spark_partition_id().alias("shard"))
+    # The type of the keys, also if there are none.
+    rows.select("doc_id").limit(0).write.parquet(f"{path}/key")
+    place = _place(kind)
+    encoded = rows.select("doc_id", "text", F.format_string("%08d", F.spark_partition_id()).alias("shard"))
     encoded = encoded.mapInArrow(encode, f"{place}, raw binary")
-    encoded.write.option("compression", "zstd").parquet(f"{path}/work")
+    encoded.write.option("compression", "zstd").partitionBy("shard", "chunk").parquet(f"{path}/work")
 
-    raw = spark.read.parquet(f"{path}/work")
+    raw = spark.read.schema(f"{place}, raw binary").parquet(f"{path}/work").select("shard", "chunk", "seq", "doc_id", "start", "n_tokens", "raw")
     _ranks(raw).write.parquet(f"{path}/ranks")
     ids = _rank_ids(spark, path)
     rank_of = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.uint32)
@@ -118,13 +129,25 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [pack(rank_of[_wide(x)]) for x in batch.column(5).to_pylist()]
+            packed = [pack(rank_of[_wide(x)]) for x in batch.column(6).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], *[pa.array([p[k] for p in packed], pa.binary()) for k in (0, 1)]],
-                [*batch.schema.names[:5], "control", "data"],
+                [*batch.columns[:6], *[pa.array([p[k] for p in packed], pa.binary()) for k in (0, 1)]],
+                [*batch.schema.names[:6], "control", "data"],
             )
 
-    raw.mapInArrow(code, f"{place}, control binary, data binary").write.parquet(f"{path}/ids")
+    # A task has whole chunks, as their files are not split; in order, each is written as one file.
+    coded = raw.mapInArrow(code, f"{place}, control binary, data binary").sortWithinPartitions("shard", "chunk", "seq")
+    coded.write.partitionBy("shard", "chunk").parquet(f"{path}/ids")
+
+
+def _place(kind: str) -> str:
+    return f"shard string, chunk string, seq long, doc_id {kind}, start long, n_tokens long"
+
+
+def _ids(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """The table ``ids`` and the type of its keys."""
+    kind = spark.read.parquet(f"{path}/key").schema["doc_id"].dataType.simpleString()
+    return spark.read.schema(f"{_place(kind)}, control binary, data binary").parquet(f"{path}/ids"), kind
 
 
 def _narrow(ids: bytes) -> bytes:
@@ -165,9 +188,8 @@ def _rank_ids(spark: SparkSession, path: str) -> np.ndarray:
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit)."""
-    table = spark.read.parquet(f"{path}/ids")
+    table, kind = _ids(spark, path)
     ids = _rank_ids(spark, path).astype("<u4")
-    kind = table.schema["doc_id"].dataType.simpleString()
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,14 +200,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
             )
 
     rows = table.select("shard", "doc_id", "start", "n_tokens", "control", "data")
-    rows = rows.mapInArrow(decode, f"shard int, doc_id {kind}, start long, n_tokens long, ids binary")
+    rows = rows.mapInArrow(decode, f"shard string, doc_id {kind}, start long, n_tokens long, ids binary")
     return _with_start(rows, table)
 
 
 def _with_start(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Turn the start within a shard into the start within the dataset."""
     sizes = table.groupBy("shard").agg(F.sum("n_tokens").alias("size"))
-    # One row per shard, that is per file of the writer.
+    # One row per shard, that is per task of the writer.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("shard", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
     return rows.join(base, "shard").select(
@@ -195,9 +217,8 @@ def _with_start(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 def token_digests(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens`` and ``ids_crc32`` of each document, from the files."""
-    table = spark.read.parquet(f"{path}/ids")
+    table, kind = _ids(spark, path)
     ids = _rank_ids(spark, path).astype("<u4")
-    kind = table.schema["doc_id"].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,5 +229,5 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
             )
 
     rows = table.select("shard", "doc_id", "start", "n_tokens", "control", "data")
-    rows = rows.mapInArrow(digest, f"shard int, doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    rows = rows.mapInArrow(digest, f"shard string, doc_id {kind}, start long, n_tokens long, ids_crc32 long")
     return _with_start(rows, table)

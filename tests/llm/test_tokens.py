@@ -12,7 +12,7 @@ import pytest
 from conftest_llm import SF_DIR, by_id, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from marginlab.llm import queries
+from marginlab.llm import queries, token_output
 from marginlab.llm.pieces import PieceCounter, PieceEncoder
 from marginlab.llm.token_counts import token_counts
 from marginlab.llm.token_output import pack, read_tokens, token_digests, unpack, write_tokens
@@ -120,3 +120,37 @@ def test_pack_round_trip(numbers):
     control, data = pack(np.array(numbers, np.uint32))
     assert unpack(control, data, len(numbers)).tolist() == numbers
     assert len(control) == (len(numbers) + 3) // 4
+
+
+@pytest.fixture
+def apart(spark):
+    """Small shuffle partitions stay apart."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, was)
+
+
+def test_files_in_the_order_of_their_paths_hold_ascending_ids(spark, apart, monkeypatch):
+    """Several shards of several files each, of very different sizes."""
+    monkeypatch.setattr(token_output, "CHUNK", 2_000)
+    monkeypatch.setattr(token_output, "FILE_BYTES", 4_000)
+    rnd = random.Random(2)
+    docs = documents(spark, [(i, "word " * rnd.choice([1, 5, 400])) for i in range(300)]).repartition(5)
+    path = new_shared_path(spark, "tokens")
+    write_tokens(docs, path, BYTE, 2)
+    stored = spark.read.parquet(f"{path}/ids").withColumn("file", F.input_file_name()).withColumn("at", F.monotonically_increasing_id())
+    rows = stored.select("file", "at", "doc_id", "shard", "chunk").orderBy("file", "at").collect()
+    assert [r.doc_id for r in rows] == list(range(300))
+    assert len({r.file for r in rows}) == len({(r.shard, r.chunk) for r in rows}) > len({r.shard for r in rows}) > 1
+
+
+def test_equal_rows_are_dealt_over_shards(spark, apart):
+    docs = documents(spark, [(None, None)] * 400 + [(7, "same")] * 400).repartition(3)
+    path = new_shared_path(spark, "tokens")
+    write_tokens(docs, path, BYTE, 2)
+    sizes = [r[1] for r in spark.read.parquet(f"{path}/ids").groupBy("shard").count().collect()]
+    assert sum(sizes) == 800 and max(sizes) < 400
+    found = token_digests(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in found] == [None] * 400 + [7] * 400 and [r.start for r in found] == [*range(400), *range(400, 1200, 2)]
