@@ -37,11 +37,16 @@ def plain_words(text: Column) -> Column:
     return F.array_remove(F.split(lowered, SEPARATOR), "")
 
 
-def _blocks(small: DataFrame, word: str) -> list[DataFrame]:
-    """A table in parts that are broadcast, each of about BLOCK rows at most: the size is counted first."""
+def _blocks(small: DataFrame) -> list[DataFrame]:
+    """A table of distinct rows in parts that are broadcast, each of BLOCK rows at most: rows are dealt by a hash, and the parts counted."""
     n = -(-small.count() // BLOCK)
-    part = F.pmod(F.xxhash64(word), F.lit(max(n, 1)))
-    return [F.broadcast(small.where(part == k)) for k in range(n)]
+
+    def part() -> Column:
+        return F.pmod(F.xxhash64(*[F.col(c) for c in small.columns]), F.lit(max(n, 1)))
+
+    while n > 1 and small.groupBy(part().alias("part")).count().agg(F.max("count")).first()[0] > BLOCK:
+        n += -(-n // 8)
+    return [F.broadcast(small.where(part() == k)) for k in range(n)]
 
 
 def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
@@ -109,16 +114,16 @@ def benchmark_runs(
     found.select(F.explode("words").alias("word")).distinct().write.parquet(f"{path}/vocabulary")
     vocabulary = spark.read.parquet(f"{path}/vocabulary")
     each = words.select(F.explode_outer("words").alias("word"))
-    counted = [each.join(b, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n")) for b in _blocks(vocabulary, "word")]
+    counted = [each.join(b, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n")) for b in _blocks(vocabulary)]
     counts = _union(counted, vocabulary.select("word", F.lit(0).cast("long").alias("n")).limit(0))
 
-    anchors(found, counts, length).write.parquet(f"{path}/anchors")
+    anchors(found, counts, length).distinct().write.parquet(f"{path}/anchors")
     table = spark.read.parquet(f"{path}/anchors")
     table = table.select("word", "item", "least", F.col("left").alias("item_left"), F.col("right").alias("item_right"))
     # The outer form keeps Spark from cutting each text a second time to filter empty ones.
     places = words.select("key", "tie", "words", F.posexplode_outer("words").alias("at", "word"))
     runs = []
-    for block in _blocks(table, "word"):
+    for block in _blocks(table):
         # Nothing but the word is tested by the join: a test of arrays would take it out of
         # generated code, and every word would then be copied with its whole document.
         met = places.join(block, "word").select(
@@ -146,8 +151,8 @@ def contamination(
     items with occurring windows; ``items_sha256``: of their ids, sorted as texts,
     joined by commas. ``contaminated``: at least one in ``least_share`` words is hit.
 
-    The benchmark's words and anchors are broadcast in blocks of a counted size;
-    documents' words are filtered by them before anything moves, and only runs of
+    The benchmark's words and anchors are broadcast in blocks of a counted size,
+    each of which is a pass over the documents; their words are filtered by them before anything moves, and only runs of
     equal words are shuffled. A passage that very many documents hold adds a few
     rows to each, never pairs of documents.
 
@@ -196,10 +201,14 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, length: int = 13, least_share: int = 20, key: str = "doc_id", text: str = "text",
     item_key: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated."""
+    """The rows of ``docs`` that are not contaminated; all columns are kept, whatever their names."""
     path = new_shared_path(docs.sparkSession, "contaminated")
     found = _judged(docs, benchmark, length, least_share, key, text, item_key, item_text).where("contaminated")
-    found.select(F.col("key").alias("__key"), F.col("tie").alias("__tie")).distinct().write.parquet(path)
+    found.select(F.col("key").alias("gone_key"), F.col("tie").alias("gone_tie")).distinct().write.parquet(path)
     gone = docs.sparkSession.read.parquet(path)
-    same = F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__tie"))
-    return docs.join(gone, same, "left_anti")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("key"),
+        F.xxhash64(F.col(f"`{text}`")).alias("tie"),
+    )
+    same = F.col("key").eqNullSafe(F.col("gone_key")) & (F.col("tie") == F.col("gone_tie"))
+    return rows.join(gone, same, "left_anti").select("row.*")

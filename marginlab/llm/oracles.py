@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 
 from marginlab.llm.decontaminate import SEPARATOR
-from marginlab.llm.quality_rules import BOILERPLATE, CLOSED, MARKS, SEPARATORS
+from marginlab.llm.quality_rules import CLOSED, MARKS, PHRASES, SEPARATORS
 from marginlab.llm.text import WORD
 
 
@@ -33,7 +33,7 @@ judged AS (
   SELECT doc_id, line, n, len(regexp_extract_all(line, {_text(MARKS)})) > 0.2::DOUBLE * n
     OR (n < 8 AND NOT regexp_matches(line, {_text(CLOSED)}))
     OR len(regexp_extract_all(line, {_text(SEPARATORS)})) > 0.2::DOUBLE * n
-    OR (n <= 40 AND regexp_matches(lower(line), {_text('|'.join(BOILERPLATE))})) AS bad
+    OR 12 * len(regexp_extract_all(lower(line), {_text(PHRASES)})) >= n AS bad
   FROM each_line WHERE n > 0
 ),
 by_doc AS (

@@ -29,19 +29,21 @@ class LineRules:
     - punctuation: more than ``marks`` of its words carry doubled marks (``!!``, ``%%%``), or it has fewer than
       ``open_words`` words and no closing punctuation,
     - navigation: more than ``separators`` separators (``|`` and the like) per word,
-    - boilerplate: it holds a phrase of BOILERPLATE and has at most ``boilerplate_words`` words.
+    - boilerplate: it holds phrases of BOILERPLATE, as whole words, and has at most ``boilerplate_words`` words for each.
     A document is rejected if more than ``most_lost`` of its words are in failing lines.
     """
 
     marks: float = 0.2
     open_words: int = 8
     separators: float = 0.2
-    boilerplate_words: int = 40
+    boilerplate_words: int = 12
     most_lost: float = 0.5
 
 
 MARKS = r"[!?]{2,}|[%&$#*]{2,}"
 SEPARATORS = r"[|»•·>]"
+#: No letter stands before or after a phrase.
+PHRASES = "(?:^|[^a-z])(?:" + "|".join(BOILERPLATE) + ")(?:s|es)?(?:$|[^a-z])"
 CLOSED = r"[.!?:;…。！？]['\"”’»)\]\s]*$"
 
 
@@ -58,7 +60,7 @@ def _lines(text: Column, rules: LineRules) -> Column:
             (n < rules.open_words) & ~line.rlike(CLOSED)
         )
         navigation = F.regexp_count(line, F.lit(SEPARATORS)) > rules.separators * n
-        phrases = (n <= rules.boilerplate_words) & F.lower(line).rlike("|".join(BOILERPLATE))
+        phrases = F.regexp_count(F.lower(line), F.lit(PHRASES)) * rules.boilerplate_words >= n
         return (n > 0) & (punctuation | navigation | phrases)
 
     return F.transform(counted, lambda x: F.struct(x["line"].alias("line"), x["n"].alias("n"), bad(x).alias("bad")))
@@ -179,8 +181,14 @@ def quality_verdicts(
 def clean_documents(
     docs: DataFrame, rules: LineRules = LineRules(), text: str = "text", size: str | None = "n_chars"
 ) -> DataFrame:
-    """The rows of ``docs`` that are kept, failing lines removed; ``size`` is set to the text's new length."""
-    df = _verdicts(docs, text, rules, True).where("__rules.kept").withColumn(text, F.col("__rules.clean_text"))
+    """The rows of ``docs`` that are kept, failing lines removed; ``size`` is set to the text's new length.
+
+    Other columns are kept, whatever their names.
+    """
+    rest = [c for c in docs.columns if c not in (text, size)]
+    rows = docs.select(F.struct(F.lit(0), *[F.col(f"`{c}`") for c in rest]).alias("__row"), F.col(f"`{text}`").alias("__text"))
+    df = _verdicts(rows, "__text", rules, True).where("__rules.kept")
+    new = {text: F.col("__rules.clean_text")}
     if size in docs.columns:
-        df = df.withColumn(size, F.length(text).cast(docs.schema[size].dataType))
-    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new[size] = F.length("__rules.clean_text").cast(docs.schema[size].dataType)
+    return df.select(*[(new[c] if c in new else F.col("__row").getField(c)).alias(c) for c in docs.columns])

@@ -296,18 +296,20 @@ def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 4, blocks: i
 
     Rows are stored with a number each and told apart by it. What is compared, counted
     and joined is slim rows; no row is looked up by its key, however many rows share
-    one, and texts move only if the dropped numbers are too many to be broadcast.
+    one, and texts move only if the dropped numbers are too many to be broadcast. All
+    columns are kept, whatever their names.
     """
     spark = docs.sparkSession
     path = new_shared_path(spark, "near-copies")
-    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(f"{path}/docs")
-    stored = spark.read.parquet(f"{path}/docs")
     # Maps have no hash; rows that differ in nothing else are taken for equal.
     hashed = [F.col(f"`{c}`") for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
-    place = F.struct(
-        F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("tie"), F.xxhash64(*hashed).alias("rest"), F.col("__row").alias("row")
-    )
-    placed = stored.select(place.alias("__place"), F.col(f"`{text}`").alias("__text"))
+    numbered = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{key}`").alias("key"),
+        F.xxhash64(F.col(f"`{text}`")).alias("tie"), F.xxhash64(*hashed).alias("rest"), F.monotonically_increasing_id().alias("row"),
+    )
+    numbered.write.parquet(f"{path}/docs")
+    stored = spark.read.parquet(f"{path}/docs")
+    placed = stored.select(F.struct("key", "tie", "rest", "row").alias("__place"), F.col("doc").getField(text).alias("__text"))
     fingerprints(placed, width, "__place", "__text").select("fp", F.col("key").alias("place")).write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
     keyless = F.col("place.key").isNull()
@@ -318,7 +320,6 @@ def drop_near_copies(docs: DataFrame, width: int = 5, radius: int = 4, blocks: i
     groups = nodes.join(roots, nodes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root"))
     chosen = groups.agg(F.min("keyed").alias("keyed"), F.min("keyless").alias("keyless"))
     chosen = chosen.select(F.explode(F.array("keyed.row", "keyless.row")).alias("row")).where("row is not null")
-    rows.select("place.row").join(chosen, "row", "left_anti").select(F.col("row").alias("__gone")).write.parquet(f"{path}/gone")
+    rows.select("place.row").join(chosen, "row", "left_anti").write.parquet(f"{path}/gone")
     gone = spark.read.parquet(f"{path}/gone")
-    left = stored.join(gone, stored["__row"] == gone["__gone"], "left_anti")
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return stored.select("doc", "row").join(gone, "row", "left_anti").select("doc.*")

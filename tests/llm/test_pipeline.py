@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from conftest_llm import SF_DIR, by_id
 from marginlab.llm import queries
+from pyspark.sql import functions as F
 from test_rules_mix_benchmark import PROSE, plain_contamination, plain_counts
 from test_simhash import plain_fingerprint, plain_groups
 from test_tokens import expected
@@ -52,3 +53,17 @@ def test_nulls_repeats_and_extra_columns(spark, tmp_path):
         out.write.parquet(f"{tmp_path}/{k}")
         docs = spark.read.parquet(f"{tmp_path}/{k}")
     assert sorted([r.doc_id for r in docs.collect()], key=str) == [1, None]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    """Names that the operators use for columns of their own."""
+    rows = [(1, PROSE, 1), (2, PROSE + " More words at the end.", 2), (3, "x", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").selectExpr("*", "'en' AS lang", "'s1' AS source")
+    names = "__row __gone __place __text __rules __lines __words __key __tie __mix __times row key tie rest doc fp place gone_key gone_tie a.b item word".split()
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id").cast("string")))
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert found and all(r[n] == f"{n}{r.doc_id}" for r in found for n in names)
