@@ -4,12 +4,17 @@ A tree is built with the end and start tags that HTML implies, elements that are
 not shown are left out, and the rest is rendered: blocks on lines of their own,
 paragraphs and headings with a blank line between, list items with marks and
 indents, table cells aligned in columns.
+
+Shown is what a browser shows of the page as it stands, by attributes and inline styles.
+Not read: style sheets (a ``<style>`` rule or a linked sheet may hide an element), pictures
+and the text that stands in for them, and fields' values but for text areas and options.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,12 +26,15 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = frozenset(
-    "head script style title template noscript iframe noembed noframes datalist audio video canvas object svg math textarea select".split()
+    "head script style title template noscript iframe noembed noframes datalist audio video canvas object desc metadata "
+    "annotation annotation-xml".split()
 )
+#: Text that a browser shows as it stands, tags too.
+VERBATIM = frozenset("textarea xmp".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset".split())
 BLOCKS = SPACED | frozenset(
     "html body div section article aside nav header footer main address form hr li dt dd figcaption details summary "
-    "dialog center caption legend menu hgroup search option tr thead tbody tfoot td th".split()
+    "dialog center caption legend menu hgroup search option optgroup select textarea xmp tr thead tbody tfoot td th".split()
 )
 CELLS = ("td", "th")
 SECTIONS = ("thead", "tbody", "tfoot")
@@ -49,38 +57,44 @@ _TAG = re.compile(
     r"<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+>|[^>]*+(?:>|\Z)))",
     re.S,
 )
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/>]|$)", re.I)
-_STYLE = re.compile(r"\bstyle\s*=\s*(\"[^\"]*|'[^']*|[^\s>]*)", re.I)
-_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]*)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(\w+)", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 
-#: Columns wider than this are not padded, and tables nested deeper are rendered as plain blocks.
-WIDEST, DEEPEST = 40, 8
-
-
 class Node:
     __slots__ = ("tag", "attributes", "children")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
 
+    def get(self, name: str) -> str | None:
+        """Value of an attribute, '' if it has none, None if it is not there."""
+        if name not in self.attributes.lower():
+            return None
+        for found in _ATTRIBUTE.finditer(self.attributes):
+            if found[1].lower() == name:
+                return found[2] or found[3] or found[4] or ""
+        return None
+
     def number(self, name: str, default: int) -> int:
-        found = re.search(rf"\b{name}\s*=\s*[\"']?\s*(\d{{1,4}})", self.attributes, re.I)
+        found = re.match(r"\s*([+-]?\d{1,18})", self.get(name) or "")
         return int(found[1]) if found else default
 
-    def shown(self) -> bool:
+    def displayed(self) -> bool:
+        """Whether the element has a place on the page; one that is not visible keeps it."""
         if self.tag in UNSEEN:
             return False
-        a = self.attributes
-        if not a:
-            return True
-        if "hidden" in a.lower() and _HIDDEN.search(_QUOTED.sub('""', a)):
+        if not self.attributes:
+            return self.tag != "dialog"
+        if self.get("hidden") is not None or (self.tag == "dialog" and self.get("open") is None):
             return False
-        if self.tag == "dialog" and not re.search(r"\bopen\b", a, re.I):
-            return False
-        style = _STYLE.search(a)
-        return not (style and _NOT_SHOWN.search(style[1]))
+        return not _NO_DISPLAY.search(self.get("style") or "")
+
+    def visible(self, around: bool) -> bool:
+        """Whether its texts are visible; ``around``: those of its parent."""
+        found = _VISIBILITY.findall(self.get("style") or "") if self.attributes else None
+        return found[-1].lower() not in ("hidden", "collapse") if found else around
 
 
 def parse(page: str) -> Node:
@@ -141,6 +155,9 @@ def parse(page: str) -> Node:
             continue
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
+            if tag in VERBATIM:
+                inside = page[at : close.start() if close else size].removeprefix("\n")
+                node.children.append(html.unescape(inside) if tag == "textarea" else inside)
             at = page.find(">", close.end()) + 1 if close else size
             at = at or size
             continue
@@ -192,14 +209,15 @@ class Lines:
         self.mark = ""
 
 
-def render(root: Node, depth: int = 0) -> list[str]:
-    """Lines of the visible text below a node."""
+def render(root: Node, visible: bool = True, tables: dict | None = None) -> list[str]:
+    """Lines of the visible text below a node. ``tables``: lines of the tables inside, as they are known."""
     out, lists, kept = Lines(), [], 0
-    todo: list = [(root, False)]
+    todo: list = [(root, False, visible)]
     while todo:
-        node, leaving = todo.pop()
+        node, leaving, seen = todo.pop()
         if isinstance(node, str):
-            out.text(node, kept > 0)
+            if seen:
+                out.text(node, kept > 0)
             continue
         tag = node.tag
         if leaving:
@@ -207,17 +225,18 @@ def render(root: Node, depth: int = 0) -> list[str]:
                 lists.pop()
             if tag in ("li", "dd", "blockquote"):
                 out.item_end()
-            kept -= tag == "pre"
+            kept -= tag == "pre" or tag in VERBATIM
             out.block(1 if tag in SPACED and not (lists and tag in ("ul", "ol")) else 0)
             continue
-        if not node.shown():
+        if not node.displayed():
             continue
+        seen = node.visible(seen)
         if tag == "br":
             out.end_line(True)
             continue
-        if tag == "table" and depth < DEEPEST:
+        if tag == "table":
             out.block(1)
-            for line in table(node, depth):
+            for line in tables[id(node), seen] if tables and (id(node), seen) in tables else laid_out(node, seen):
                 out.now = line
                 out.end_line()
             out.block(1)
@@ -234,65 +253,131 @@ def render(root: Node, depth: int = 0) -> list[str]:
                 out.item("- " if number is None else f"{number}. ")
             elif tag in ("dd", "blockquote"):
                 out.item("  ")
-            kept += tag == "pre"
-            todo.append((node, True))
-        if tag == "details" and not re.search(r"\bopen\b", node.attributes, re.I):
+            kept += tag == "pre" or tag in VERBATIM
+            todo.append((node, True, seen))
+        if tag == "details" and node.get("open") is None:
             summaries = [c for c in node.children if isinstance(c, Node) and c.tag == "summary"]
-            todo += [(c, False) for c in summaries[:1]]
+            todo += [(c, False, seen) for c in summaries[:1]]
+        elif tag == "select" and node.get("multiple") is None and node.number("size", 1) <= 1:
+            todo += [(c, False, seen) for c in _chosen(node)]
         else:
-            todo += [(c, False) for c in reversed(node.children)]
+            todo += [(c, False, seen) for c in reversed(node.children)]
     out.end_line()
     return out.lines
 
 
-def table(node: Node, depth: int) -> list[str]:
-    """Lines of a table: captions, then a line per row with its cells in columns."""
-    captions, rows, stray = [], [], []
-    todo = list(reversed(node.children))
+def _chosen(select: Node) -> list[Node]:
+    """The option that a closed list shows: the last one that is selected, else the first."""
+    options, todo = [], list(reversed(select.children))
+    while todo:
+        node = todo.pop()
+        if isinstance(node, Node):
+            options += [node] * (node.tag == "option")
+            todo += reversed(node.children)
+    return [o for o in options if o.get("selected") is not None][-1:] or options[:1]
+
+
+def laid_out(outer: Node, visible: bool) -> list[str]:
+    """Lines of a table. Those inside it come first, however deep they nest, so that no call stands in another."""
+    found, todo = [], [(outer, visible, visible)]
+    while todo:
+        node, around, _ = todo.pop()
+        if isinstance(node, str) or not node.displayed():
+            continue
+        seen = node.visible(around)
+        if node.tag == "table":
+            found.append((node, seen if node is not outer else visible))
+        todo += [(c, seen, seen) for c in node.children]
+    known: dict = {}
+    for node, seen in reversed(found):
+        known[id(node), seen] = table(node, seen, known)
+    return known[id(outer), visible]
+
+
+def table(node: Node, visible: bool, known: dict) -> list[str]:
+    """Lines of a table: captions, then a line per row with its cells in columns.
+
+    A cell stands in its column beside cells that reach down from rows above (``rowspan``), whose
+    text stands in their first row.
+    """
+    captions, rows, stray, section = [], [], [], 0
+    todo = [(c, visible, 0) for c in reversed(node.children)]
     while todo:
-        child = todo.pop()
+        child, seen, of = todo.pop()
         if isinstance(child, str):
-            stray.append(child)
-        elif not child.shown():
+            stray.append((child, seen))
+        elif not child.displayed():
             continue
         elif child.tag in SECTIONS:
-            todo += reversed(child.children)
+            section += 1
+            todo += [(c, child.visible(seen), section) for c in reversed(child.children)]
         elif child.tag == "tr":
-            cells = []
-            for c in child.children:
-                part = c if isinstance(c, Node) and c.tag in CELLS else Node("#cell")
-                if part is not c:
-                    part.children.append(c)
-                if part.shown():
-                    content = Node("#cell")
-                    content.children = part.children
-                    text = " ".join(x.strip() for x in render(content, depth + 1) if x)
-                    if part is c or text:
-                        cells.append((text, max(1, part.number("colspan", 1))))
-            rows.append(cells)
+            rows.append((_cells(child, child.visible(seen), known), of))
         elif child.tag == "caption":
-            captions += render(child, depth + 1)
+            captions += render(child, seen, known)
         else:
-            stray.append(child)
-    loose = Node("#cell")
-    loose.children = stray
-    widths = Counter()
-    for cells in rows:
-        at = 0
-        for text, span in cells:
-            if span == 1 and len(text) <= WIDEST:
-                widths[at] = max(widths[at], len(text))
-            at += span
-    lines = [*render(loose, depth + 1), *captions]
-    for cells in rows:
-        at, parts = 0, []
-        for text, span in cells:
-            parts.append(text.ljust(sum(widths[k] for k in range(at, at + min(span, 100))) + 2 * (min(span, 100) - 1)))
-            at += span
-        line = "  ".join(parts).rstrip()
-        if line:
-            lines.append(line)
-    return lines
+            stray.append((child, seen))
+    loose, lines = [], []
+    for part, seen in stray:
+        content = Node("#cell")
+        content.children = [part]
+        loose += render(content, seen, known)
+    # Cells by row and column; reaching cells keep their columns until they or their section end.
+    placed, longest, reach, before = [], {}, {}, 0
+    for cells, of in rows:
+        if of != before:
+            reach, before = {}, of
+        at, line, taken = 0, [], {c: n - 1 for c, n in reach.items() if n > 1}
+        for text, across, down in cells:
+            while at in reach:
+                at += 1
+            line.append((at, across, text))
+            spans = longest.setdefault(at, {})
+            spans[across] = max(spans.get(across, 0), len(text))
+            if down != 1:
+                taken |= {c: down - 1 if down > 0 else len(rows) for c in range(at, at + across)}
+            at += across
+        placed.append(line)
+        reach = taken
+    # Only columns that some cell starts in are looked at, not every number of a span. A column begins
+    # two places after the longest text of those that end before it.
+    columns = sorted(longest)
+    starts, least = {}, [0] * (len(columns) + 1)
+    for k, at in enumerate(columns):
+        starts[at] = least[k]
+        least[k + 1] = max(least[k + 1], least[k] + 2)
+        for across, size in longest[at].items():
+            after = bisect_left(columns, at + across)
+            least[after] = max(least[after], least[k] + size + 2)
+    for line in placed:
+        now = ""
+        for at, _, text in line:
+            if text:
+                now = now.ljust(starts[at]) + text
+        if now.strip():
+            lines.append(now.rstrip())
+    return [*loose, *captions, *lines]
+
+
+#: Most columns that a cell reaches over and most rows that it reaches down, as in the HTML standard.
+MOST_ACROSS, MOST_DOWN = 1000, 65534
+
+
+def _cells(row: Node, visible: bool, known: dict) -> list[tuple[str, int, int]]:
+    """(text, columns, rows) of the cells of a row; other content is a cell of its own."""
+    cells = []
+    for c in row.children:
+        own = isinstance(c, Node) and c.tag in CELLS
+        content = Node("#cell")
+        content.children = c.children if own else [c]
+        if own and not c.displayed():
+            continue
+        seen = c.visible(visible) if own else visible
+        text = " ".join(x.strip() for x in render(content, seen, known) if x)
+        if own or text:
+            across = min(max(c.number("colspan", 1), 1), MOST_ACROSS) if own else 1
+            cells.append((text, across, min(max(c.number("rowspan", 1), 0), MOST_DOWN) if own else 1))
+    return cells
 
 
 def page_text(page: str | None) -> str:

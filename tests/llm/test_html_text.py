@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 
 import pytest
@@ -34,6 +35,15 @@ PAGES = {
     "details": ("<details><summary>s</summary>x</details><details open><summary>t</summary>y</details>", "s\nt\ny"),
     "open end": ("<div><p>a<b>b", "ab"),
     "unclosed script": ("a<script>x", "a"),
+    "formulas and drawings": ("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> <svg><title>no</title><text>b</text></svg>", "a x=1 b"),
+    "fields": ("a<textarea>\n b <i>\n  c &amp;</textarea><xmp><b>d</b></xmp>e", "a\n b <i>\n  c &\n<b>d</b>\ne"),
+    "closed list": ("<select><option>a<option selected>b<option>c</select><select><optgroup><option>d</optgroup><option>e</select>", "b\nd"),
+    "open list": ("<select multiple><option>a<option>b</select><select size=3><option>c<option>d</select>", "a\nb\nc\nd"),
+    "names of attributes": ("<p data-style='display:none'>a</p><p data-hidden>b</p><p title='hidden'>c</p><p style='x-display:none'>d</p><p HIDDEN>e</p>", "a\n\nb\n\nc\n\nd"),
+    "visible again": ("<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c<p style='display:none'><i style='visibility:visible'>d</i></div>", "b"),
+    "rows reach down": ("<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>", "A  B\n   C\nD  E"),
+    "rows reach to the end": ("<table><tbody><tr><td rowspan=0>A<td>B<tr><td>C<tbody><tr><td>D<td>E</table>", "A  B\n   C\nD  E"),
+    "long numbers": ("<ol start='12345'><li>a<li value=-3>b</ol>", "12345. a\n-3. b"),
     "nothing": ("", ""),
 }
 
@@ -44,7 +54,50 @@ def test_fixture(name):
     assert page_text(page) == text
 
 
+def grid(rows):
+    """{(row, column): text} of rows of (text, across, down), by a set of taken places."""
+    taken, out = set(), {}
+    for r, cells in enumerate(rows):
+        c = 0
+        for text, across, down in cells:
+            while (r, c) in taken:
+                c += 1
+            out[r, c] = text
+            taken |= {(r + i, c + k) for i in range(down) for k in range(across)}
+            c += across
+    return out
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_cells_of_a_column_begin_at_one_place(seed):
+    """Random tables; cells are long, spanning ones short, and none reaches into another."""
+    rnd = random.Random(seed)
+    rows, n = [], 0
+    for _ in range(rnd.randint(1, 6)):
+        cells = []
+        for _ in range(rnd.randint(1, 5)):
+            n += 1
+            across = rnd.choice([1, 1, 1, 2])
+            cells.append((f"c{n}" + "x" * (rnd.choice([0, 3, 90]) if across == 1 else 0), across, rnd.choice([1, 1, 2]) if across == 1 else 1))
+        rows.append(cells)
+    page = "<table>" + "".join("<tr>" + "".join(f"<td colspan={a} rowspan='{d}'>{t}" for t, a, d in cells) for cells in rows) + "</table>"
+    lines = page_text(page).split("\n")
+    assert len(lines) == len(rows)
+    begins = {}
+    for (r, c), text in grid(rows).items():
+        at = re.search(rf"(?<!\S){text}(?!\S)", lines[r]).start()
+        begins.setdefault(c, set()).add(at)
+    assert all(len(x) == 1 for x in begins.values()), (page, lines)
+    assert [min(begins[c]) for c in sorted(begins)] == sorted(min(x) for x in begins.values())
+
+
 def test_deep_and_long_pages():
+    assert page_text("<table><tr><td>" * 3_000 + "a") == "a"
+    wide = page_text("<table><tr><td>" + "w" * 500 + "<td>b<tr><td>c<td>d</table>").split("\n")
+    assert wide[0].index("b") == wide[1].index("d") == 502
+    nested = "<table><tr><td>" * 20 + "<table><tr><td>a<td>b</table>" + "</table>" * 20
+    assert page_text(nested) == "a  b"
+    assert page_text("<table>" + "<tr><td colspan=99999 rowspan=99999>a" * 50 + "</table>").split() == ["a"] * 50
     assert page_text("<div>" * 50_000 + "a") == "a"
     assert page_text("<table><tr><td>" * 300 + "a") == "a"
     assert page_text("<ul><li>" * 2000 + "a").endswith("a")
