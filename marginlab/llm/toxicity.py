@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginlab.llm.labelled import held_out, once, training_sample
+from marginlab.sources.stored import stored
 
 _WORD = re.compile(r"\w+")
 _ODD = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -22,7 +23,7 @@ REMEMBERED = 300_000
 
 @dataclass(frozen=True)
 class FtrlParameters:
-    """``most``: bound of the training sample, in rows. ``bits``: size of the hashed space.
+    """``most`` and ``most_coordinates``: bounds of the training sample, in rows and in coordinates of all its texts. ``bits``: size of the hashed space.
 
     ``alpha`` and ``beta`` set the rate of each coordinate, alpha / (beta + root of
     its summed squared gradients); ``l1`` makes weights zero, ``l2`` small.
@@ -30,6 +31,7 @@ class FtrlParameters:
     """
 
     most: int = 16_000
+    most_coordinates: int = 32_000_000
     bits: int = 20
     alpha: float = 1.0
     beta: float = 1.0
@@ -103,10 +105,9 @@ def fit_toxicity(
 ) -> SparseWeights:
     """Weights fitted to at most ``parameters.most`` labelled rows outside the held-out fold.
 
-    Texts are hashed where they are; the coordinates of the sample, whose size is
-    bounded by the parameter, reach the driver partition by partition and are
-    learnt from in the order of a hash of their key. Without labels all weights
-    are zero.
+    Texts are hashed where they are and stored. The coordinates of the sample are learnt from on the driver, in the
+    order of a hash of their key; it holds about ``parameters.most_coordinates`` of them at most: of a sample with
+    more, examples are taken by that hash. Without labels all weights are zero.
     """
     sample = training_sample(docs, labels, label, parameters.most, key, text)
     bits = parameters.bits
@@ -121,7 +122,11 @@ def fit_toxicity(
     kind = sample.schema["key"].dataType.simpleString()
     found = sample.select("key", "text", "label", "tie").mapInArrow(hashed, f"key {kind}, label int, tie long, at binary")
     order = F.xxhash64(F.col("key"), F.lit("order"))
-    found = once(found, "at").select(order.alias("order"), "label", "at")
+    found = stored(once(found, "at").select(order.alias("order"), "label", "at"), "coordinates")
+    held = (found.agg(F.sum(F.octet_length("at"))).first()[0] or 0) // 4
+    if held > parameters.most_coordinates:
+        rate = parameters.most_coordinates / held
+        found = found.where(F.pmod(F.col("order"), F.lit(1 << 30)) < int(rate * (1 << 30)))
     rows = sorted((r.order, r.label, bytes(r.at)) for r in found.toLocalIterator())
     return ftrl([(np.frombuffer(at, np.uint32), y) for _, y, at in rows], parameters)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import random
 import zlib
 
 import numpy as np
+import pytest
 from conftest_llm import by_id, documents
 from marginlab.llm import queries
 from marginlab.llm.labelled import once, training_sample
@@ -112,3 +115,68 @@ def test_sample_is_bounded_however_often_a_key_is_repeated(spark):
             assert 0 < len(found) <= most
             assert len({(r.key, r.label, r.text) for r in found}) == len(found)
         assert sum(r.key == 1 for r in found) == (zlib.crc32(b"1") % 3 != 1) * len(set(own))
+
+
+def plain_ftrl(examples, p):
+    """The published update, one coordinate at a time, in dictionaries."""
+    z, n, bias = {}, {}, "bias"
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= p.l1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * p.l1) / ((p.beta + n[i] ** 0.5) / p.alpha + p.l2)
+
+    for _ in range(p.epochs):
+        for found, label in examples:
+            at = [*found.tolist(), bias]
+            w = {i: weight(i) for i in at}
+            g = (1 / (1 + math.exp(-sum(w.values()))) - label) * (p.positive if label else 1)
+            for i in at:
+                rate = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / p.alpha
+                z[i] = z.get(i, 0.0) + g - rate * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z if i != bias and weight(i)}, weight(bias)
+
+
+def test_ftrl_equals_the_plain_update():
+    rnd = random.Random(1)
+    p = FtrlParameters(bits=6, l1=0.5, epochs=3, positive=2.0)
+    examples = []
+    for _ in range(200):
+        label = int(rnd.random() < 0.3)
+        found = {rnd.randrange(64) for _ in range(6)} | ({3, 9} if label else {5})
+        examples.append((np.array(sorted(found), np.uint32), label))
+    got, (want, bias) = ftrl(examples, p), plain_ftrl(examples, p)
+    assert set(got.at.tolist()) == set(want) and 3 in want
+    assert np.allclose(got.weight, [want[i] for i in got.at.tolist()], atol=1e-5) and abs(got.bias - bias) < 1e-9
+
+
+def test_the_sample_is_bounded_by_its_coordinates(spark):
+    docs = documents(spark, [(i, " ".join(f"w{i}x{k}" for k in range(100))) for i in range(400)])
+    labels = spark.range(400).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    few = fit_toxicity(docs, labels, FtrlParameters(l1=0.01, epochs=1, most_coordinates=9_000))
+    every = fit_toxicity(docs, labels, FtrlParameters(l1=0.01, epochs=1))
+    assert 0 < len(few.at) < 15_000 < len(every.at)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_first_split_is_the_best_of_all(seed):
+    """Every limit of every feature is tried; the gain is that of the second-order expansion of the loss."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 12, size=(300, 3)).astype(float)
+    y = ((x[:, seed] > 5) ^ (rng.random(300) < 0.2)).astype(float)
+    p = BoostParameters(trees=1, depth=1, bins=64, leaf=1.0)
+    trees = boost(x, y, p)
+    prob = 1 / (1 + math.exp(-trees.base))
+    g, h = prob - y, np.full(300, prob * (1 - prob))
+    score = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + p.ridge)
+    gains = {
+        (f, c): score(x[:, f] <= c) + score(x[:, f] > c) - score(np.ones(300, bool))
+        for f in range(3) for c in range(11) if min(h[x[:, f] <= c].sum(), h[x[:, f] > c].sum()) >= p.leaf
+    }
+    f, c = trees.feature[0, 0], trees.limit[0, 0]
+    assert (f, np.floor(c)) == max(gains, key=gains.get) and f == seed
+    left = x[:, f] <= c
+    want = [-p.rate * g[rows].sum() / (h[rows].sum() + p.ridge) for rows in (left, ~left)]
+    assert np.allclose(trees.value[0], want)
