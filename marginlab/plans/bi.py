@@ -12,17 +12,17 @@ from marginlab.functions.money import micros
 from marginlab.functions.times import day_of_iso
 from marginlab.operators.dims import keep_keys
 from marginlab.operators.metrics import previous_period
-from marginlab.plans.common import margin_events
 from marginlab.plans.track import (
     CONTROL_NEW,
     CONTROL_OLD,
     TEST_NEW,
     TEST_OLD,
-    logged_between,
+    margin_changes,
     margin_pairs,
 )
 from marginlab.settings import Period, Settings
 from marginlab.sources.scans import latest_snapshot, period_scan
+from marginlab.sources.stored import stored
 from marginlab.sources.warehouse import Warehouse
 
 _WHO = (
@@ -34,14 +34,13 @@ _MONEY = ("revenue", "spend", "network_revenue", "network_spend")
 _LATE = ("installs", "target_events_d7", "customer_revenue_d7")
 
 
-def paired_campaigns(wh: Warehouse, cfg: Settings, after: str, before: str) -> DataFrame:
+def paired_campaigns(changes: DataFrame, cfg: Settings) -> DataFrame:
     """Campaigns with a control and an experiment change on one day.
 
-    The campaigns of ``margin_pairs`` without its windows and pairs.
+    The campaigns of ``margin_pairs`` without its pairs.
     """
-    events = margin_events(wh, cfg, with_config=False, where=logged_between(after, before))
     kind = F.col("margin_type")
-    days = events.groupBy("campaign_id", F.to_date("logged_at").alias("day")).agg(
+    days = changes.groupBy("campaign_id", F.to_date("logged_at").alias("day")).agg(
         F.max(kind == cfg.control).alias("c"), F.max(kind == cfg.experiment).alias("e")
     )
     return days.filter(F.col("c") & F.col("e") & F.col("campaign_id").isNotNull()).select(
@@ -129,8 +128,9 @@ def dashboard_dataset(
     as_of: str | datetime | date,
 ) -> DataFrame:
     """Daily measures and fields of the tested campaigns with the day's margin changes."""
-    campaigns = paired_campaigns(wh, cfg, after, before)
-    changes = margin_pairs(wh, cfg, after, before, "inner", "experiment").withColumnsRenamed(
+    log = margin_changes(wh, cfg, after, before)
+    campaigns = stored(paired_campaigns(log, cfg), "paired-campaigns")
+    changes = margin_pairs(wh, cfg, after, before, "inner", "experiment", changes=log).withColumnsRenamed(
         {"campaign_id": "__cid"}
     )
     merged = daily_measures(wh, cfg, period, campaigns).join(

@@ -12,6 +12,7 @@ from marginlab.operators.dims import exclude_keys, keep_keys, num_values_per_key
 from marginlab.operators.history import change_events, change_flag, merge_update_sources
 from marginlab.plans.common import MARGINS, NEW, margin_events
 from marginlab.settings import Period, Settings
+from marginlab.sources.stored import stored
 from marginlab.sources.warehouse import Warehouse
 
 _SIDES = ("control", "experiment")
@@ -161,7 +162,9 @@ def all_updates(wh: Warehouse, cfg: Settings, period: Period, paused_after: str)
         [_model_branch(wh, cfg, period), _manual_branch(wh, cfg, period), _switch_branch(wh, cfg)],
         _TIMELINE,
     )
-    kept = exclude_keys(merged, "campaign_id", paused_campaigns(wh, cfg, paused_after))
+    # Both have several readers: the exclusion its three parts, the timeline its rows and their counts.
+    paused = stored(paused_campaigns(wh, cfg, paused_after), "paused-campaigns")
+    kept = stored(exclude_keys(merged, "campaign_id", paused), "timeline")
     counted = num_values_per_key(kept, "campaign_id", "model_target", "num_target")
     owners = wh.campaigns.select(F.col("id").alias("__id"), "customer_id")
     return (
