@@ -7,14 +7,11 @@ import re
 from collections import Counter
 
 import pytest
-from conftest_llm import DOC, SF_DIR
+from conftest_llm import DOC
 from pyspark.sql import functions as F
-from run_checks import compare, connect
 
 from marginlab.llm import collocations as module
 from marginlab.llm.collocations import collocations
-from marginlab.llm.oracles import ORACLES
-from marginlab.llm.queries import QUERIES
 
 COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
@@ -109,8 +106,3 @@ def test_counts_beyond_32_bits_stay_exact(spark):
     pairs = spark.createDataFrame([("en", b"a", b"b", b"b", (3 << 60) - 7)], known.schema)
     [row] = module._scores([known, pairs], 2_000_000).collect()
     assert row.score == 2_000_000 * ((3 << 60) - 7) // (6 << 60)
-
-
-def test_query_equals_sql(spark):
-    problem = compare(QUERIES["op12_collocations"](spark, SF_DIR), connect(SF_DIR), ORACLES["op12_collocations"])
-    assert problem is None, problem
