@@ -19,10 +19,12 @@ from functools import lru_cache
 from itertools import chain, filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handed to the library at once, and pieces a worker remembers.
 BATCH_BYTES = 256 << 10
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 
 #: Punctuation and letters before it that can make it a pre-token of its own.
 _MARKS = ".,!?;:|%#$&*"
@@ -180,16 +182,14 @@ def balanced(texts: Iterable[str], most: int) -> Iterator[list[str]]:
         yield batch
 
 
-def by_size(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of the list that hold about ``most`` characters each."""
+def by_size(texts: pa.Array, most: int) -> Iterator[list[str | None]]:
+    """The texts in lists of about ``most`` bytes each; no other text is held as a Python string meanwhile."""
     start, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= most:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 1):
+        held += n
+        if held >= most or i == len(texts):
+            yield texts.slice(start, i - start).to_pylist()
+            start, held = i, 0
 
 
 @lru_cache(maxsize=2)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from marginlab.llm.pieces import by_size, counter
 
-#: Characters of text that a worker cuts and counts at once.
-CHUNK = 4 << 20
+#: Bytes of text that a worker cuts and counts at once.
+CHUNK = 2 << 20
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -35,9 +35,9 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, key: str =
         for batch in batches:
             texts = batch.column(1)
             sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0)
-            texts, found = texts.to_pylist(), []
-            for a, b in by_size(texts, CHUNK):
-                found += words.count(texts[a:b])
+            found = []
+            for some in by_size(texts, CHUNK):
+                found += words.count(some)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), sizes.cast(pa.int64()), pa.array(found, pa.int64())],
                 ["key", "n_bytes", "n_tokens"],

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from marginlab.llm.pieces import by_size, encoder
 
-#: Characters of text that a worker cuts and encodes at once.
-CHUNK = 4 << 20
+#: Bytes of text that a worker cuts and encodes at once.
+CHUNK = 1 << 20
 
 #: Bytes of ids of a chunk, which is one file: less than a row group of Parquet, so no file is split between readers.
 FILE_BYTES = 32 << 20
@@ -93,9 +93,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seq, start, chunk, held = encoder(tokenizer), 0, 0, 0, 0
         for batch in batches:
-            keys, shards, texts = batch.column(0), batch.column(2), batch.column(1).to_pylist()
-            for a, b in by_size(texts, CHUNK):
-                found = [x + end for x in words.encode(texts[a:b])]
+            keys, shards, b = batch.column(0), batch.column(2), 0
+            for some in by_size(batch.column(1), CHUNK):
+                a, b = b, b + len(some)
+                found = [x + end for x in words.encode(some)]
                 sizes = np.array([len(x) // 4 for x in found], np.int64)
                 starts = start + np.cumsum(sizes) - sizes
                 chunk, held = (chunk + 1, 0) if held >= FILE_BYTES else (chunk, held)
