@@ -9,6 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginlab.operators.asof import partitions_for
 from marginlab.sources.stored import stored
 
 #: Key ranges that two tables are compared by.
@@ -57,7 +58,7 @@ def _off(metric: str, tolerance: float) -> Column:
 def differing_ranges(
     expected: DataFrame, actual: DataFrame, keys: Sequence[str], metrics: Sequence[str], ranges: int = RANGES
 ) -> DataFrame:
-    """``range`` of the key ranges whose rows are not the same on both sides.
+    """``range`` of the key ranges whose rows are not the same on both sides, and their ``rows`` of both.
 
     A range is a part of the hashes of the keys. Each side is reduced to a count and two sums of
     row hashes per range before anything moves. At most ``ranges`` rows.
@@ -75,7 +76,10 @@ def differing_ranges(
     same = F.lit(True)
     for c in ("n", "a", "b"):
         same = same & F.col(f"e_{c}").eqNullSafe(F.col(f"a_{c}"))
-    return both.filter(~same).select(F.coalesce("range", "__range").alias("range"))
+    return both.filter(~same).select(
+        F.coalesce("range", "__range").alias("range"),
+        (F.coalesce("e_n", F.lit(0)) + F.coalesce("a_n", F.lit(0))).alias("rows"),
+    )
 
 
 def key_range(keys: Sequence[str], ranges: int) -> Column:
@@ -101,27 +105,29 @@ def reconcile_both(
     is expected / actual - 1, an actual of zero is off unless the expected value is zero too.
     """
     wanted = stored(differing_ranges(expected, actual, keys, metrics, ranges), "ranges")
+    # Both sides meet in one sum by key, so that no join follows. Partitions grow in number with the rows, not in size.
+    compared = wanted.agg(F.sum("rows")).first()[0] or 0
 
     def side(df: DataFrame, name: str) -> DataFrame:
         rows = df.withColumn("__range", key_range(keys, ranges))
         rows = rows.join(F.broadcast(wanted), F.col("__range") == F.col("range"), "left_semi")
-        return rows.groupBy(*[F.col(k).alias(f"__{name}_{k}") for k in keys]).agg(
-            *[F.sum(m).alias(f"{name}_{m}") for m in metrics], F.lit(True).alias(f"__{name}")
-        )
+        return rows.select(*keys, F.lit(name).alias("__side"), *metrics)
 
-    on = [F.col(f"__expected_{k}").eqNullSafe(F.col(f"__actual_{k}")) for k in keys]
-    both = side(expected, "expected").join(side(actual, "actual"), on, "full")
+    sides = side(expected, "expected").unionByName(side(actual, "actual"))
+    both = sides.repartition(partitions_for(sides.sparkSession, compared), *keys).groupBy(*keys).agg(
+        *[F.sum(F.when(F.col("__side") == s, F.col(m))).alias(f"{s}_{m}") for s in ("expected", "actual") for m in metrics],
+        *[F.max(F.col("__side") == s).alias(f"__{s}") for s in ("expected", "actual")],
+    )
     finding = (
-        F.when(F.col("__actual").isNull(), "missing")
-        .when(F.col("__expected").isNull(), "unexpected")
+        F.when(~F.col("__actual"), "missing")
+        .when(~F.col("__expected"), "unexpected")
         .when(reduce(or_, [_off(m, tolerance) for m in metrics]), "changed")
     )
-    named = [F.when(F.col("__expected"), F.col(f"__expected_{k}")).otherwise(F.col(f"__actual_{k}")).alias(k) for k in keys]
     deltas = [
         (F.try_divide(F.col(f"expected_{m}").cast("double"), F.col(f"actual_{m}").cast("double")) - F.lit(1.0)).alias(f"delta_{m}")
         for m in metrics
     ]
     out = both.select(
-        *named, finding.alias("finding"), *[f"expected_{m}" for m in metrics], *[f"actual_{m}" for m in metrics], *deltas
+        *keys, finding.alias("finding"), *[f"expected_{m}" for m in metrics], *[f"actual_{m}" for m in metrics], *deltas
     )
     return out.filter(F.col("finding").isNotNull())
