@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from helpers import plan_text, rows
 
-from conformance.registry import AS_OF, BUSINESS, CFG, DAYS, EARLY, TRAFFIC
+from conformance.registry import AFTER, AS_OF, BEFORE, BUSINESS, CFG, DAYS, EARLY, TRAFFIC
 from conformance.reports import HOURS, LIMIT_DAYS
 from conformance.tables import warehouse
 from marginlab.operators import asof, quality
@@ -66,3 +66,14 @@ def test_both_sides_are_compared_without_a_join_of_them(spark):
     assert "FullOuter" not in plan and "SortMergeJoin" not in plan
     kinds = [r.finding for r in found.collect()]
     assert (kinds.count("missing"), kinds.count("unexpected"), kinds.count("changed")) == (10, 1, 1)
+
+
+def test_the_update_timeline_has_more_partitions_for_a_longer_log(spark, monkeypatch):
+    """Its distinct rows are found in partitions sized by the rows of the log, not by the session's number."""
+    wh = warehouse(spark, SMALL)
+    run = lambda: dataset.update_timeline(wh, CFG, AS_OF, EARLY, AFTER, BEFORE)
+    whole = rows(run())
+    monkeypatch.setattr(asof, "ROWS_PER_PARTITION", 100)
+    log = wh.change_log.count()
+    assert log > 800 and run().rdd.getNumPartitions() == -(-log // 100)
+    assert rows(run()) == whole and len(set(whole)) == len(whole)
