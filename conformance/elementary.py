@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conformance.registry import AS_OF, CFG, TRAFFIC, Context, check
 from marginlab.functions import money, nested, times
 from marginlab.operators import dims, history, metrics
+from marginlab.operators.asof import partitions_for
 from marginlab.operators.neighbors import with_neighbors
 from marginlab.plans.bi import previous_matched
 from marginlab.session import new_shared_path
@@ -555,8 +556,12 @@ j AS (SELECT m0.*, m1.events, m1.dt IS NOT NULL AS hit FROM m0 LEFT JOIN m1
 SELECT campaign_id, dt, CASE WHEN hit THEN lag(events) OVER (PARTITION BY campaign_id, hit ORDER BY dt) END AS previous FROM j""")
 def _(c):
     keys = ["campaign_id", "dt"]
-    m0 = c.wh.daily_fact.groupBy(*keys).agg(F.sum("revenue_micros").alias("revenue"))
-    m1 = c.wh.daily_credited_d7.groupBy(*keys).agg(
+    # Partitions grow in number with the rows, and both sides are added up, joined and sorted in them.
+    partitions = partitions_for(c.spark, max(c.wh.daily_fact.count(), c.wh.daily_credited_d7.count()))
+    m0 = c.wh.daily_fact.select(*keys, "revenue_micros").repartition(partitions, *keys)
+    m0 = m0.groupBy(*keys).agg(F.sum("revenue_micros").alias("revenue"))
+    m1 = c.wh.daily_credited_d7.select(*keys, "target_events_d7").repartition(partitions, *keys)
+    m1 = m1.groupBy(*keys).agg(
         F.sum("target_events_d7").alias("events"), F.lit(True).alias("hit")
     )
     return previous_matched(

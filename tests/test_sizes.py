@@ -6,7 +6,8 @@ from dataclasses import replace
 
 from helpers import plan_text, rows
 
-from conformance.registry import AFTER, AS_OF, BEFORE, BUSINESS, CFG, DAYS, EARLY, TRAFFIC
+from conformance.registry import AFTER, AS_OF, BEFORE, BUSINESS, CFG, CHECKS, DAYS, EARLY, TRAFFIC
+from conformance import elementary  # noqa: F401
 from conformance.reports import HOURS, LIMIT_DAYS
 from conformance.tables import warehouse
 from marginlab.operators import asof, quality
@@ -77,3 +78,13 @@ def test_the_update_timeline_has_more_partitions_for_a_longer_log(spark, monkeyp
     log = wh.change_log.count()
     assert log > 800 and run().rdd.getNumPartitions() == -(-log // 100)
     assert rows(run()) == whole and len(set(whole)) == len(whole)
+
+
+def test_a_lag_over_a_left_join_has_more_partitions_for_more_facts(spark, monkeypatch):
+    """Both sides are added up and joined in partitions sized by the rows of the facts."""
+    run = lambda: CHECKS["w6_lag_over_left_join"].run(spark, SMALL)
+    whole = rows(run())
+    monkeypatch.setattr(asof, "ROWS_PER_PARTITION", 100)
+    parts = -(-warehouse(spark, SMALL).daily_fact.count() // 100)
+    assert parts > 8 and plan_text(run()).count(f", {parts}), REPARTITION_BY_NUM") == 2
+    assert rows(run()) == whole
