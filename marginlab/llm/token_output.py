@@ -26,10 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marginlab.llm.pieces import by_size, encoder
+from marginlab.llm.pieces import encoder, slices, strings
 
 #: Bytes of text that a worker cuts and encodes at once.
-CHUNK = 1 << 20
+CHUNK = 4 << 20
+
+#: Bytes of ids of the working table, or of data, that a worker codes or decodes at once.
+CODED = 1 << 20
 
 #: Bytes of ids of a chunk, which is one file: less than a row group of Parquet, so no file is split between readers.
 FILE_BYTES = 32 << 20
@@ -40,22 +43,42 @@ _COUNTS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit numbers."""
+    control, data = _pack_rows(ranks, np.array([len(ranks)]))
+    return control[0].as_py(), data[0].as_py()
+
+
+def _pack_rows(ranks: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """``pack`` of rows that have the given numbers of ranks in turn."""
     ranks = np.ascontiguousarray(ranks, "<u4")
     more = (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    quads = np.zeros((len(ranks) + 3) // 4 * 4, np.uint8)
-    quads[: len(ranks)] = more
-    quads = quads.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    used = np.arange(4) <= more[:, None]
-    return control.astype(np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    ends, quads = np.cumsum(sizes), np.concatenate([[0], np.cumsum((sizes + 3) // 4)])
+    padded = np.zeros(int(quads[-1]) * 4, np.uint8)
+    padded[np.arange(len(ranks)) + np.repeat(quads[:-1] * 4 - (ends - sizes), sizes)] = more
+    padded = padded.reshape(-1, 4)
+    control = padded[:, 0] | padded[:, 1] << 2 | padded[:, 2] << 4 | padded[:, 3] << 6
+    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= more[:, None]]
+    data_ends = np.concatenate([[0], np.cumsum(more, dtype=np.int64) + np.arange(1, len(ranks) + 1)])
+    return _rows(control, quads), _rows(data, data_ends[np.concatenate([[0], ends])])
+
+
+def _rows(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(values.astype(np.uint8))]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` numbers that ``pack`` was given."""
-    sizes = _COUNTS[np.frombuffer(control, np.uint8)].ravel()[:n]
+    return _unpack_rows([control], [data], np.array([n]))
+
+
+def _unpack_rows(control: list[bytes], data: list[bytes], n: np.ndarray) -> np.ndarray:
+    """The numbers of rows in turn, ``n`` of each."""
+    quads = (n + 3) // 4
+    shift = (np.cumsum(quads) - quads) * 4 - (np.cumsum(n) - n)
+    sizes = _COUNTS[np.frombuffer(b"".join(control), np.uint8)].ravel()[np.arange(int(n.sum())) + np.repeat(shift, n)]
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    raw = np.frombuffer(data, np.uint8)
+    raw = np.frombuffer(b"".join(data), np.uint8)
     out = raw[starts].astype(np.uint32)
     for k in (1, 2, 3):
         longer = np.flatnonzero(sizes > k)
@@ -94,9 +117,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
         words, seq, start, chunk, held = encoder(tokenizer), 0, 0, 0, 0
         for batch in batches:
             keys, shards, b = batch.column(0), batch.column(2), 0
-            for some in by_size(batch.column(1), CHUNK):
+            for some in slices(batch.column(1), CHUNK):
                 a, b = b, b + len(some)
-                found = [x + end for x in words.encode(some)]
+                found = [x + end for x in strings(words.encode_array(some))]
                 sizes = np.array([len(x) // 4 for x in found], np.int64)
                 starts = start + np.cumsum(sizes) - sizes
                 chunk, held = (chunk + 1, 0) if held >= FILE_BYTES else (chunk, held)
@@ -130,11 +153,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [pack(rank_of[_wide(x)]) for x in batch.column(6).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:6], *[pa.array([p[k] for p in packed], pa.binary()) for k in (0, 1)]],
-                [*batch.schema.names[:6], "control", "data"],
-            )
+            b = 0
+            for some in slices(batch.column(6), CODED):
+                a, b = b, b + len(some)
+                ids = [_wide(x) for x in strings(some)]
+                packed = _pack_rows(rank_of[np.concatenate(ids)], np.array([len(x) for x in ids]))
+                rows = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*rows.columns[:6], *packed], [*batch.schema.names[:6], "control", "data"])
 
     # A task has whole chunks, as their files are not split; in order, each is written as one file.
     coded = raw.mapInArrow(code, f"{place}, control binary, data binary").sortWithinPartitions("shard", "chunk", "seq")
@@ -167,8 +192,8 @@ def _ranks(raw: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for x in batch.column(0).to_pylist():
-                n = np.bincount(_wide(x))
+            for some in slices(batch.column(0), CODED):
+                n = np.bincount(np.concatenate([_wide(x) for x in strings(some)]))
                 if len(n) > len(total):
                     total = np.concatenate([total, np.zeros(len(n) - len(total), np.int64)])
                 total[: len(n)] += n
@@ -187,6 +212,17 @@ def _rank_ids(spark: SparkSession, path: str) -> np.ndarray:
     return found["id"].to_numpy(np.int64)
 
 
+def _ids_of_rows(batch: pa.RecordBatch, ids: np.ndarray) -> Iterator[np.ndarray]:
+    """Ids of each row of (shard, doc_id, start, n_tokens, control, data)."""
+    b = 0
+    for data in slices(batch.column(5), CODED):
+        a, b = b, b + len(data)
+        n = batch.column(3).slice(a, b - a).to_numpy()
+        found = ids[_unpack_rows(strings(batch.column(4).slice(a, b - a)), strings(data), n)]
+        ends = np.cumsum(n)
+        yield from (found[x:y] for x, y in zip((ends - n).tolist(), ends.tolist()))
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit)."""
     table, kind = _ids(spark, path)
@@ -194,8 +230,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, control, data = (batch.column(k).to_pylist() for k in (3, 4, 5))
-            found = [ids[unpack(c, d, k)].tobytes() for k, c, d in zip(n, control, data)]
+            found = [x.tobytes() for x in _ids_of_rows(batch, ids)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(found, pa.binary())], [*batch.schema.names[:4], "ids"]
             )
@@ -223,8 +258,7 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, control, data = (batch.column(k).to_pylist() for k in (3, 4, 5))
-            found = [zlib.crc32(ids[unpack(c, d, k)].tobytes()) for k, c, d in zip(n, control, data)]
+            found = [zlib.crc32(x) for x in _ids_of_rows(batch, ids)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(found, pa.int64())], [*batch.schema.names[:4], "ids_crc32"]
             )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -59,6 +60,23 @@ PIECES = {"byte": PieceEncoder(BYTE, 50), "word": PieceCounter(WORD, 50)}
 ids_word, ids_byte = ids(WORD), ids(BYTE)
 
 
+def test_new_words_of_known_parts_need_no_library():
+    pieces = PieceEncoder(BYTE)
+    pieces.encode(["x beta.\ngamma, gamma!"])
+    pieces.tokenizer, pieces.model = None, SimpleNamespace(tokenize=None)
+    text = "x gamma.\ngamma! beta, beta.\ngamma!"
+    assert np.frombuffer(pieces.encode([text])[0], np.uint32).tolist() == ids_byte(text)
+
+
+@pytest.mark.parametrize("remembered", [5, 800_000])
+@pytest.mark.parametrize("texts", [["a b", " a  b", None, "c\n", "a b", "", "b \nc a"], [" a", "b ", "a  b "], ["a", "b c"], []])
+def test_texts_with_and_without_white_space_beside_spaces(texts, remembered):
+    pieces = PieceEncoder(BYTE, remembered)
+    for batch in (texts, texts[::-1]):
+        found = [np.frombuffer(x, np.uint32).tolist() for x in pieces.encode(batch)]
+        assert found == [ids_byte(t) for t in batch]
+
+
 def test_counts_of_edge_texts(spark):
     docs = documents(spark, EDGE).withColumn("key", F.lit("x")).withColumn("n_tokens", F.lit("y"))
     found = by_id(token_counts(docs, WORD), "n_bytes", "n_tokens", "over_limit")
