@@ -34,29 +34,28 @@ _MONEY = ("revenue", "spend", "network_revenue", "network_spend")
 _LATE = ("installs", "target_events_d7", "customer_revenue_d7")
 
 
-def paired_campaigns(changes: DataFrame, cfg: Settings) -> DataFrame:
-    """Campaigns with a control and an experiment change on one day.
+def paired_days(changes: DataFrame, cfg: Settings) -> DataFrame:
+    """Campaigns and days with a control and an experiment change.
 
-    The campaigns of ``margin_pairs`` without its pairs.
+    The keys of ``margin_pairs`` without its pairs.
     """
     kind = F.col("margin_type")
     days = changes.groupBy("campaign_id", F.to_date("logged_at").alias("day")).agg(
         F.max(kind == cfg.control).alias("c"), F.max(kind == cfg.experiment).alias("e")
     )
-    return days.filter(F.col("c") & F.col("e") & F.col("campaign_id").isNotNull()).select(
-        "campaign_id"
-    ).distinct()
+    return days.filter(F.col("c") & F.col("e") & F.col("campaign_id").isNotNull()).select("campaign_id", "day")
 
 
 def campaign_fields(
     wh: Warehouse, cfg: Settings, period: Period, as_of, campaigns: DataFrame
 ) -> DataFrame:
     """Descriptive fields of each campaign that had traffic."""
-    seen = keep_keys(period_scan(wh.daily_fact, period), "campaign_id", campaigns)
     from_fact = [c for c in _WHO if c in wh.daily_fact.columns]
-    who = seen.groupBy(*from_fact).agg(
+    seen = period_scan(wh.daily_fact, period).groupBy(*from_fact).agg(
         F.max("ae_email").alias("ae_email"), F.max("csm_email").alias("csm_email")
     )
+    # Rows are combined before they are moved to their campaigns.
+    who = keep_keys(seen, "campaign_id", campaigns)
     # The fact is reduced to its fields first; sales fields and limits follow.
     limits = wh.campaigns.select(
         F.col("id").alias("__id"), "crm_campaign_id", "daily_revenue_limit"
@@ -73,13 +72,17 @@ def campaign_fields(
 
 
 def daily_measures(
-    wh: Warehouse, cfg: Settings, period: Period, campaigns: DataFrame
+    wh: Warehouse, cfg: Settings, period: Period, campaigns: DataFrame, days: DataFrame
 ) -> DataFrame:
-    """Credited daily measures and those of the previous row of the campaign."""
+    """Credited daily measures and those of the previous row of the campaign.
+
+    ``__paired`` tells the rows whose campaign and day are among ``days``. Facts move once, to their campaign and day,
+    and their sums once more, to the campaign, where the wanted ones are kept.
+    """
     credited = F.col("is_uncredited") != "true"
 
     def scan(df: DataFrame) -> DataFrame:
-        return keep_keys(period_scan(df, period).filter(credited), "campaign_id", campaigns)
+        return period_scan(df, period).filter(credited)
 
     on_network = F.col("exchange") == cfg.network_exchange
     by = ["campaign_id", day_of_iso("dt").alias("dt")]
@@ -97,13 +100,17 @@ def daily_measures(
         F.sum(micros("customer_revenue_micros_d7")).alias("customer_revenue_d7"),
         F.lit(True).alias("__late"),
     )
-    both = early.join(late, ["campaign_id", "dt"], "left")
+    on = ["campaign_id", "dt"]
+    paired = days.select("campaign_id", F.col("day").cast("timestamp").alias("dt"), F.lit(True).alias("__paired"))
+    both = early.join(late, on, "left").join(paired, on, "left")
+    both = both.withColumn("__paired", F.coalesce("__paired", F.lit(False)))
     both = previous_period(
         both, ["campaign_id"], "dt", {f"previous_day_{m}": m for m in _MONEY}
     )
-    return previous_matched(
+    full = previous_matched(
         both, "campaign_id", "dt", "__late", {f"previous_day_{m}": m for m in _LATE}
     ).drop("__late")
+    return keep_keys(full, "campaign_id", campaigns)
 
 
 def previous_matched(
@@ -127,20 +134,26 @@ def dashboard_dataset(
     before: str,
     as_of: str | datetime | date,
 ) -> DataFrame:
-    """Daily measures and fields of the tested campaigns with the day's margin changes."""
+    """Daily measures and fields of the tested campaigns with the day's margin changes.
+
+    The rows are written once, by campaign: those of a day with changes alone move on to meet them.
+    """
     log = margin_changes(wh, cfg, after, before)
-    campaigns = stored(paired_campaigns(log, cfg), "paired-campaigns")
+    days = stored(paired_days(log, cfg), "paired-days")
+    campaigns = days.select("campaign_id").distinct()
     changes = margin_pairs(wh, cfg, after, before, "inner", "experiment", changes=log).withColumnsRenamed(
         {"campaign_id": "__cid"}
     )
-    merged = daily_measures(wh, cfg, period, campaigns).join(
+    merged = daily_measures(wh, cfg, period, campaigns, days).join(
         campaign_fields(wh, cfg, period, as_of, campaigns), "campaign_id"
     ).withColumn("dt", F.to_date("dt"))
-    out = merged.join(
+    merged = stored(merged, "daily-rows")
+    changed = merged.filter("__paired").join(
         changes,
         (F.col("campaign_id") == F.col("__cid")) & (F.col("dt") == F.col("updated_date")),
         "left",
     )
+    out = changed.unionByName(merged.filter(~F.col("__paired")), allowMissingColumns=True)
     return out.select(
         "campaign_id", "dt", "updated_date", *[c for c in _WHO if c != "campaign_id"],
         "ae_email", "csm_email", "daily_revenue_limit", "target",

@@ -8,12 +8,15 @@ from helpers import plan_text, rows
 
 from conformance.registry import AFTER, AS_OF, BEFORE, BUSINESS, CFG, CHECKS, DAYS, EARLY, TRAFFIC
 from conformance import elementary  # noqa: F401
-from conformance.reports import HOURS, LIMIT_DAYS
+from conformance.reports import FIRST_HOUR, HOURS, LAST_HOUR, LIMIT_DAYS
 from conformance.tables import warehouse
 from marginlab.operators import asof, quality
 from marginlab.operators.asof import History, bucket_length, stored_history
-from marginlab.plans import dataset
-from marginlab.streaming.hourly_run import backfill, hourly_config_run
+from marginlab.plans import bi, dataset, hourly
+from marginlab.settings import Period
+from marginlab.sources.scans import in_either
+from marginlab.streaming import hourly_run as runs
+from marginlab.streaming.hourly_run import backfill, hourly_config_run, hourly_run
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -88,3 +91,56 @@ def test_a_lag_over_a_left_join_has_more_partitions_for_more_facts(spark, monkey
     parts = -(-warehouse(spark, SMALL).daily_fact.count() // 100)
     assert parts > 8 and plan_text(run()).count(f", {parts}), REPARTITION_BY_NUM") == 2
     assert rows(run()) == whole
+
+
+def test_long_methods_are_left_to_single_operators(spark):
+    """Whole-stage methods over 8,000 bytes would run uncompiled."""
+    warehouse(spark, SMALL)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_daily_rows_of_groups_without_updates_count_in_all_business_alone(spark):
+    found = dataset.supply_rows(warehouse(spark, SMALL), CFG, TRAFFIC, DAYS, BUSINESS)
+    groups = {r[0] for r in found.select("test_group_name").distinct().collect()}
+    assert groups == {None, CFG.holdout, *CFG.margin_types}
+
+
+def test_a_key_in_either_of_two_periods(spark):
+    keys = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("e",), (None,)], "k string")
+    pick = lambda one, other: rows(keys.filter(in_either("k", Period(*one), Period(*other))))
+    assert pick("ab", "de") == [("a",), ("b",), ("d",), ("e",)] and pick("bd", "ac") == [("a",), ("b",), ("c",), ("d",)]
+
+
+def test_hourly_rows_of_groups_without_margins_are_not_moved(spark):
+    found = hourly.hourly_measures(warehouse(spark, SMALL), CFG, FIRST_HOUR, LAST_HOUR)
+    assert {r[0] for r in found.select("test_group_name").distinct().collect()} == set(CFG.margin_types)
+
+
+def test_a_backfill_reads_the_facts_of_its_hours_in_one_pass(spark, monkeypatch, tmp_path):
+    wh = warehouse(spark, SMALL)
+    names = recorded(monkeypatch, runs)
+    backfill(hourly_run, wh, CFG, HOURS[0], HOURS[2], str(tmp_path / "all"), AS_OF, LIMIT_DAYS)
+    assert names == ["hourly-facts"]
+    for h in HOURS[:2]:
+        hourly_run(wh, CFG, h, str(tmp_path / "each"), AS_OF, LIMIT_DAYS)
+    both = [spark.read.parquet(str(tmp_path / d)) for d in ("all", "each")]
+    assert rows(both[0]) == rows(both[1])
+
+
+def test_few_facts_take_the_intervals_of_their_keys_alone(spark, monkeypatch):
+    iv = spark.range(100).selectExpr("id AS k", "timestamp'2020-01-01' AS valid_from", "timestamp'2020-02-01' AS valid_to", "id AS v")
+    facts = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k long").selectExpr("k", "timestamp'2020-01-05' AS t")
+    run = lambda: asof.as_of_enrich(facts, "k", "t", [History(iv, {"v": "v"})], splits=None)
+    few = run()
+    assert "LeftSemi" in plan_text(few)
+    monkeypatch.setattr(asof, "FEW_ROWS", 0)
+    assert rows(few) == rows(run()) and "LeftSemi" not in plan_text(run())
+
+
+def test_dashboard_rows_of_days_without_changes_do_not_move_to_meet_them(spark, monkeypatch):
+    names = recorded(monkeypatch, bi)
+    wh = warehouse(spark, SMALL)
+    found = CHECKS["q26_dashboard_dataset"].build(type("C", (), {"wh": wh}))
+    assert names == ["paired-days", "daily-rows"]
+    plan = plan_text(found)
+    assert plan.count("Union") >= 1 and found.filter("updated_date IS NULL").count() > 0
